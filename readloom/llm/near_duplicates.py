@@ -36,15 +36,26 @@ def shift_tuples(segments: int, longer: int, max_edits: int) -> list[tuple[int,
     return found
 
 
-def _signature(group: str, value: str, band: str, subset: tuple[int, ...], shifts: tuple[int, ...], parts: int) -> str:
-    """SQL of the hash of one subset's letters, or NULL where a moved segment would begin before the string."""
-    starts = [f"cast(({band}) * {i} div {parts} + {1 + s} as int)" for i, s in zip(subset, shifts)]
-    lengths = [f"cast(({band}) * {i + 1} div {parts} - ({band}) * {i} div {parts} as int)" for i in subset]
-    letters = ", ".join(f"substring({value}, {a}, {n})" for a, n in zip(starts, lengths))
-    number = sum(1 << i for i in subset)
-    sql = f"xxhash64({group}, {band}, {number}, {letters})"
-    low = [a for a, s in zip(starts, shifts) if s < 0]
-    return f"if({' and '.join(f'{a} >= 1' for a in low)}, {sql}, null)" if low else sql
+def _recipes(longer: int, parts: int, max_edits: int) -> list[str]:
+    """SQL of the subsets and shifts to try for a string longer than the band by `longer`: `still` marks those that the
+    index side has too."""
+    out = []
+    for subset in combinations(range(parts), parts - max_edits):
+        for shifts in shift_tuples(len(subset), longer, max_edits):
+            places = ", ".join(f"'a{j}', {i}, 's{j}', {s}" for j, (i, s) in enumerate(zip(subset, shifts)))
+            still = str(longer == 0 and not any(shifts)).lower()
+            out.append(f"named_struct('longer', {longer}, 'subset', {sum(1 << i for i in subset)}, 'still', {still}, {places})")
+    return out
+
+
+def _signature(parts: int, max_edits: int) -> str:
+    """SQL of the hash of the letters that recipe `p` picks from `v` of `n` letters; NULL if a segment would begin before
+    the string."""
+    band = "(n - p.longer)"
+    starts = [f"cast({band} * p.a{j} div {parts} + 1 + p.s{j} as int)" for j in range(parts - max_edits)]
+    lengths = [f"cast({band} * (p.a{j} + 1) div {parts} - {band} * p.a{j} div {parts} as int)" for j in range(parts - max_edits)]
+    letters = ", ".join(f"substring(v, {a}, {n})" for a, n in zip(starts, lengths))
+    return f"if({' and '.join(f'{a} >= 1' for a in starts)}, xxhash64(grp, {band}, p.subset, {letters}), null)"
 
 
 def similar_pairs(df: DataFrame, group: Column, value: Column, max_edits: int = 2, parts: int | None = None) -> DataFrame:
@@ -55,7 +66,7 @@ def similar_pairs(df: DataFrame, group: Column, value: Column, max_edits: int =
     others, values of any length are compared whole, an empty table gives no row, extra columns are not read. No
     candidate is dropped: a signature shared by many values only costs time (adaptive joins split it).
     """
-    # a word that occurs often is reduced to one row before the shuffle
+    # a value that occurs often is one row per partition before the shuffle
     values = cut(
         df.select(group.alias("grp"), value.alias("v")).dropna().distinct().withColumn("n", F.length("v"))
     )
@@ -69,41 +80,31 @@ def similar_pairs(df: DataFrame, group: Column, value: Column, max_edits: int =
         n: [b for b in range(n - max_edits, n + max_edits + 1) if b != n and b in lengths and (lengths[n], n) < (lengths[b], b)]
         for n in lengths
     }
-    subsets = list(combinations(range(parts), parts - max_edits))
-    still = (0,) * (parts - max_edits)
-
-    index = [_signature("grp", "v", "n", s, still, parts) for s in subsets]
-    left = values.select("grp", "v", F.explode(F.expr(f"array({', '.join(index)})")).alias("sig"))
-
-    probes = [f"named_struct('sig', {x}, 'still', true)" for x in index]
-    for s in subsets:
-        for shifts in shift_tuples(len(s), 0, max_edits):
-            if shifts != still:
-                probes.append(f"named_struct('sig', {_signature('grp', 'v', 'n', s, shifts, parts)}, 'still', false)")
-    own = F.expr(f"array({', '.join(probes)})")
-    arrays = own
-    for longer in range(-max_edits, max_edits + 1):
-        lens = [str(n) for n in bands if n - longer in bands[n]]
-        if longer and lens:
-            more = [
-                f"named_struct('sig', {_signature('grp', 'v', f'(n - {longer})', s, shifts, parts)}, 'still', false)"
-                for s in subsets
-                for shifts in shift_tuples(len(s), longer, max_edits)
-            ]
-            extra = F.expr(f"if(n in ({', '.join(lens)}), array({', '.join(more)}), array())")
-            arrays = F.concat(arrays, extra)
-    right = (
-        values.select(F.col("grp").alias("grp_b"), F.col("v").alias("v_b"), F.explode(arrays).alias("p"))
-        .select("grp_b", "v_b", F.col("p.sig").alias("sig"), F.col("p.still").alias("still"))
+    longers = {n: [0, *[n - b for b in own]] for n, own in bands.items()}
+    own = F.coalesce(
+        *[F.when(F.col("n").isin([n for n in longers if longers[n] == some]), F.array(*map(F.lit, some)))
+          for some in {tuple(x): x for x in longers.values()}.values()],
+        F.array(F.lit(0)),
+    )
+    recipes = ", ".join(f"{d}, array({', '.join(_recipes(d, parts, max_edits))})" for d in range(-max_edits, max_edits + 1))
+    sides = (
+        values.withColumn("longer", F.explode(own))
+        .withColumn("p", F.explode(F.expr(f"element_at(map({recipes}), longer)")))
+        .select("grp", "v", F.col("p.still").alias("still"), F.expr(_signature(parts, max_edits)).alias("sig"))
         .filter(F.col("sig").isNotNull())
     )
+    left = (
+        values.withColumn("p", F.explode(F.expr(f"array({', '.join(r for r in _recipes(0, parts, max_edits) if 'true' in r)})")))
+        .select("grp", "v", F.expr(_signature(parts, max_edits)).alias("sig"))
+    )
+    right = sides.withColumnRenamed("grp", "grp_b").withColumnRenamed("v", "v_b")
     near = (
         (F.col("grp") == F.col("grp_b"))
         & F.when(F.col("still"), F.col("v") < F.col("v_b")).otherwise(F.col("v") != F.col("v_b"))
         & (F.levenshtein("v", "v_b", max_edits) >= 0)
     )
     return (
-        left.join(right, "sig")
+        left.join(right.hint("merge"), "sig")  # the planner would take the exploded sides for as small as the values
         .filter(near)
         .select("grp", F.least("v", "v_b").alias("value_a"), F.greatest("v", "v_b").alias("value_b"))
         .distinct()
