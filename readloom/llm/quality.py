@@ -104,11 +104,11 @@ def learn_rules(stats: DataFrame, label: Column, labelled: int = LABELLED, featu
 def judged(documents: DataFrame, common_words: DataFrame) -> DataFrame:
     """The statistics with `verdict`, 'prose' or 'suspect', by the learned rule list applied as one CASE expression.
 
-    Labels come from the stated marks: prose bears at most one. The rules describe prose, and each covers labelled prose
-    only, so what they don't know is suspect: a suspect text may be prose of an unusual kind, hardly the reverse."""
+    Labels come from the stated marks: prose bears none. The rules describe prose, and each covers labelled prose only; what
+    they don't know is suspect. So a text of two marks passes for prose only where the rules miss both."""
     stats = cut(text_statistics(spread(documents.select("doc_id", "text")), common_words))
     visible = stats.filter(F.col("n_visible") > 0)
-    rules = learn_rules(visible, defects() < 2)
+    rules = learn_rules(visible, defects() == 0)
     verdict = F.when(F.col("n_visible") == 0, F.lit("suspect")).otherwise(F.expr(to_sql(rules, FEATURES, "prose", "suspect")))
     return stats.withColumn("verdict", verdict)
 
