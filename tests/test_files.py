@@ -92,7 +92,7 @@ def test_stages_one_by_one(spark, folder):
     assert table(at("f/filtered/Sample_A.filtered.tsv"), "\t") == []
     kept = table(at("f/kept/Sample_A.kept.tsv"), "\t")
     assert len(kept) == 55 and kept[0]["filter_reason"] == "" and kept[0]["BestOverlapDist"] == "0"
-    assert len(table(at("m/barcode_overlap_summary.csv"))) == 6
+    assert len(table(at("m/barcode_overlap_summary.csv"))) == 5
 
 
 def test_pairs_end_with_the_shorter_file(spark, tmp_path):
