@@ -53,12 +53,12 @@ def exact_parts(seq: Column, design: Design, read: int) -> Column:
     else:
         idx, umi, primer, motif = design.index2_len, design.umi2_len, design.inner_p2_primer, ""
     at = idx + umi + 1
-    rest = F.substring(seq, F.lit(at + len(primer)), F.greatest(F.length(seq), F.lit(1)))
-    fits = rest.rlike(rf"^(?i:{strict_pattern(motif)}[ACGTN]{{{design.downstream_min_len}}})")
+    begin = at + len(primer) + len(motif)  # of the downstream part, whose longest run of bases counts
+    down = F.regexp_extract(F.substring(seq, F.lit(begin), F.greatest(F.length(seq), F.lit(1))), "^(?i:[ACGTN]*)", 0)
+    barcode = F.substring(seq, at + len(primer), len(motif))
     found = F.struct(
-        F.substring(seq, 1, idx).alias("idx"),
-        F.substring(seq, idx + 1, umi).alias("umi"),
-        F.substring(rest, 1, len(motif)).alias("barcode"),
-        F.regexp_extract(F.substring(rest, F.lit(len(motif) + 1), F.greatest(F.length(seq), F.lit(1))), "^(?i:[ACGTN]*)", 0).alias("down"),
-    )
-    return F.when((F.upper(F.substring(seq, at, len(primer))) == primer.upper()) & fits, found)
+        F.substring(seq, 1, idx).alias("idx"), F.substring(seq, idx + 1, umi).alias("umi"),
+        barcode.alias("barcode"), down.alias("down"),
+    )
+    fits = (F.upper(F.substring(seq, at, len(primer))) == primer.upper()) & (F.length(down) >= design.downstream_min_len)
+    return F.when(fits & barcode.rlike(f"^(?i:{strict_pattern(motif)})") if motif else fits, found)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,7 +121,8 @@ def umi_groups(parsed: DataFrame, design: Design = Design()) -> DataFrame:
     the first group within `umi_group_max_dist` mismatches, else it opens one.
 
     Reads are first reduced to their distinct prefixes with the first read's number, of which a barcode has at most
-    5^`umi_group_len`; so a group fits into a task however many reads a barcode has.
+    5^`umi_group_len`. These are sorted by barcode and order, and every task walks through its barcodes one after the other,
+    holding the groups of one.
     """
     most = design.umi_group_max_dist
     prefix = F.upper(F.substring(F.coalesce("combined_umi", F.lit("")), 1, design.umi_group_len))
@@ -129,31 +131,46 @@ def umi_groups(parsed: DataFrame, design: Design = Design()) -> DataFrame:
         .groupBy("sample", "barcode", prefix.alias("umi"))
         .agg(F.min("read_idx").alias("at"), F.count(F.lit(1)).alias("n"))
     )
+    ordered = first.repartition("sample", "barcode").sortWithinPartitions("sample", "barcode", "at", "umi")
+    rows = ordered.select("sample", "barcode", "umi", "n")
+    return rows.mapInArrow(lambda b: _walk(b, most), "sample string, barcode string, n_reads long, n_umi_groups long")
 
-    def group(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["at", "umi"])
-        found: dict[str, int] = {}
-        buckets: dict[tuple, list[str]] = {}
-
-        def masks(u: str) -> list[tuple]:
-            return [(len(u), i, u[:i] + u[i + 1 :]) for i in range(len(u))] if most == 1 else [(len(u),)]
-
-        for u in rows["umi"]:
-            near = [] if most <= 0 else [
-                g for m in masks(u) for g in buckets.get(m, ()) if sum(x != y for x, y in zip(u, g)) <= most
-            ]
-            if not near:
-                found[u] = len(found)
-                for m in masks(u):
-                    buckets.setdefault(m, []).append(u)
-        return pd.DataFrame(
-            {"sample": [rows["sample"].iloc[0]], "barcode": [rows["barcode"].iloc[0]],
-             "n_reads": [int(rows["n"].sum())], "n_umi_groups": [len(found)]}
-        )
-
-    return first.groupBy("sample", "barcode").applyInPandas(
-        group, "sample string, barcode string, n_reads long, n_umi_groups long"
-    )
+
+class _Groups:
+    """The UMI groups of one barcode: what opened them, found by the prefix less one letter."""
+
+    def __init__(self, most: int):
+        self.most, self.known, self.n = most, {}, 0
+
+    def add(self, umi: str) -> None:
+        keys = [(len(umi), i, umi[:i] + umi[i + 1 :]) for i in range(len(umi))] if self.most == 1 else [len(umi)]
+        near = self.most > 0 and any(
+            sum(x != y for x, y in zip(umi, g)) <= self.most for k in keys for g in self.known.get(k, ())
+        )
+        if not near:
+            self.n += 1
+            for k in keys:
+                self.known.setdefault(k, []).append(umi)
+
+
+def _walk(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Rows in order of barcodes to one row per barcode."""
+    names = ["sample", "barcode", "n_reads", "n_umi_groups"]
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.int64()]
+    current, groups, reads, out = None, _Groups(most), 0, []
+    for batch in batches:
+        for sample, barcode, umi, n in zip(*(c.to_pylist() for c in batch.columns)):
+            if (sample, barcode) != current:
+                if current:
+                    out.append((*current, reads, groups.n))
+                current, groups, reads = (sample, barcode), _Groups(most), 0
+            groups.add(umi)
+            reads += n
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+            out = []
+    if current:
+        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((*current, reads, groups.n), kinds)], names)
 
 
 def ranked(corrected: DataFrame) -> DataFrame:

@@ -49,7 +49,8 @@ def fastq_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                 part = next(f for f in os.listdir(f"{folder}/r{n}/{sub}") if f.startswith("part-"))
                 files.setdefault(sub.removeprefix("sample="), []).append(f"{folder}/r{n}/{sub}/{part}")
     found = [SampleFiles(s, *paths) for s, paths in sorted(files.items())]
-    return read_fastq(spark, found).select("sample", "read_idx", "r1_seq", "r1_qual", "r2_seq", "r2_qual")
+    number = F.regexp_extract("r1_header", "@read([0-9]+)/", 1).cast("long").alias("read_idx")
+    return read_fastq(spark, found).select("sample", number, "r1_seq", "r1_qual", "r2_seq", "r2_qual")
 
 
 def extract_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Raw reads derived from the test table `lineitem`, by one SQL text that Spark and DuckDB both read.
 
 Samples S0 to S2 are paired-end, S3 single-end. Some reads have low quality, a damaged primer, a foreign second read, another
-index or a barcode with one replaced letter.
+index or a barcode with one replaced letter. A read's number comes from its order's key, since numbering whole samples would
+sort each of them in one task.
 """
 
 from __future__ import annotations
@@ -13,15 +14,17 @@ from .session import table
 _NUCLEOTIDES = "translate(md5({}), '0123456789abcdef', 'ACGTACGTACGTACGT')"
 
 READS_SQL = f"""
-WITH base AS (
-  SELECT concat('S', CAST(l_suppkey % 4 AS VARCHAR)) AS sample, l_suppkey % 4 AS sno,
-         row_number() OVER (PARTITION BY l_suppkey % 4
-                            ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS read_idx,
-         l_orderkey, l_partkey, l_quantity,
+WITH numbered AS (
+  SELECT l_suppkey, l_orderkey, l_partkey, l_quantity,
+         l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+                                                l_extendedprice, l_quantity) AS read_idx
+  FROM lineitem),
+base AS (
+  SELECT concat('S', CAST(l_suppkey % 4 AS VARCHAR)) AS sample, l_suppkey % 4 AS sno, read_idx, l_orderkey, l_partkey, l_quantity,
          {_NUCLEOTIDES.format("concat('r', CAST(l_partkey % 40 AS VARCHAR))")} AS root,
          {_NUCLEOTIDES.format("concat('u', CAST(l_orderkey AS VARCHAR))")} AS umi,
          {_NUCLEOTIDES.format("concat('x', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR))")} AS junk
-  FROM lineitem),
+  FROM numbered),
 bc AS (
   SELECT *, concat(substr(root,1,5),'AC',substr(root,6,5),'GA',substr(root,11,5),'TC',substr(root,16,5)) AS bc0,
          CAST(CASE WHEN l_orderkey % 50 = 0 THEN 1 + l_partkey % 5 ELSE 0 END AS INT) AS mpos,
@@ -50,6 +53,12 @@ FROM s
 
 
 def raw_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`sample`, `read_idx`, `r1_seq`, `r1_qual`, `r2_seq`, `r2_qual`."""
-    text = READS_SQL.replace("VARCHAR", "STRING").replace("FROM lineitem", "FROM {lineitem}")
-    return spark.sql(text, lineitem=table(spark, sf_dir, "lineitem"))
+    """`sample`, `read_idx`, `r1_seq`, `r1_qual`, `r2_seq`, `r2_qual`.
+
+    Split by order key into as many tasks as a shuffle has, and at least two per core: reads are far larger than the rows
+    they come from, so partitions of the size of the latter would be too few. The numbering needs no further shuffle.
+    """
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    columns = ["l_suppkey", "l_orderkey", "l_partkey", "l_quantity", "l_linenumber", "l_extendedprice"]
+    rows = table(spark, sf_dir, "lineitem").select(*columns).repartition(tasks, "l_orderkey")
+    return spark.sql(READS_SQL.replace("VARCHAR", "STRING").replace("FROM lineitem", "FROM {lineitem}"), lineitem=rows)
