@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: Hashes kept per set: the union's size has a standard error of 1/sqrt(K), 1.6 %.
 K = 4096
+#: Input partitions whose hashes of a set are merged in one task before those of all are.
+BUNDLE = 256
 #: Sketches in a block: one task of the pairing holds two blocks.
 BLOCK = 64
 
@@ -22,8 +24,13 @@ def sketches(sets: DataFrame, k: int = K) -> DataFrame:
     """
     hashed = sets.select("set_id", F.xxhash64("item").alias("h"), F.col("item").isNotNull().alias("ok"))
     hashed = hashed.filter(F.col("ok") & F.col("set_id").isNotNull()).select("set_id", "h")
+    lowest = hashed
+    if sets.rdd.getNumPartitions() > BUNDLE:  # so that no task gets a large set's hashes of all partitions
+        bundled = hashed.withColumn("bundle", F.floor(F.spark_partition_id() / BUNDLE))
+        rank = F.dense_rank().over(Window.partitionBy("set_id", "bundle").orderBy("h"))
+        lowest = bundled.withColumn("r", rank).filter(F.col("r") <= k).select("set_id", "h")
     rank = F.dense_rank().over(Window.partitionBy("set_id").orderBy("h"))
-    lowest = hashed.withColumn("r", rank).filter(F.col("r") <= k)
+    lowest = lowest.withColumn("r", rank).filter(F.col("r") <= k)
     return lowest.groupBy("set_id").agg(F.sort_array(F.collect_set("h")).alias("hashes"))  # at most k each
 
 

@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.shared import local_file, put_file, spread
+from ..plans.shared import cut, local_file, put_file, spread
 from .transducer import Lexicon
 
 #: The most frequent words of the corpus that are compiled into the automaton; it takes some 20 bytes for each.
@@ -87,10 +87,19 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequent_words(texts: DataFrame, words: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent words of `text` over all documents; at most `words`, which bounds what the driver gets."""
+    """The most frequent words of `text` over all documents. The driver gets at most `words` of them: counts are first put
+    into some 250 classes (quarters of a doubling), and whole classes are taken from the top as long as they fit."""
     counts = texts.select("text").mapInArrow(_count_words, "word string, n long")
-    totals = counts.groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in totals.orderBy(F.desc("n"), "word").limit(words).collect()]
+    totals = cut(counts.groupBy("word").agg(F.sum("n").alias("n")))
+    place = F.floor(F.log2("n") * 4)
+    classes = totals.groupBy(place.alias("c")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).collect()
+    least, held = None, 0
+    for r in classes:
+        held += r["n"]
+        if held > words:
+            break
+        least = r["c"]
+    return [] if least is None else [r["word"] for r in totals.filter(place >= least).select("word").collect()]
 
 
 def _encoder(ranks_path: str, lexicon_key: str) -> Callable[[str], list[int]]:
