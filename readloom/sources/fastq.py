@@ -5,13 +5,16 @@ from __future__ import annotations
 import gzip
 import io
 import json
+import os
 from collections.abc import Iterator
 from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..plans.shared import cut
 from .discovery import SampleFiles
 
 SCHEMA = (
@@ -90,3 +93,119 @@ def read_fastq(spark: SparkSession, found: dict[str, SampleFiles] | list[SampleF
     spark.dataSource.register(FastqSource)
     samples = found.values() if isinstance(found, dict) else found
     return spark.read.format("fastq").option("samples", json.dumps([[s.sample, s.r1, s.r2] for s in samples])).load()
+
+
+SPLIT_SCHEMA = "sample string, read_no int, split long, at long, header string, seq string, qual string"
+#: Bytes of a plain file that one task reads.
+SPLIT_BYTES = 128 * 1024 * 1024
+
+
+def _seekable(path: str) -> tuple[io.BufferedIOBase, int]:
+    """A plain file for reading from any place, and its size."""
+    if "://" in path and not path.startswith("file://"):
+        from pyarrow import fs
+
+        system, inner = fs.FileSystem.from_uri(path)
+        return system.open_input_file(inner), system.get_file_info(inner).size
+    raw = open(path.removeprefix("file://"), "rb")
+    return raw, os.fstat(raw.fileno()).st_size
+
+
+def split_records(path: str, start: int, end: int) -> Iterator[tuple[str, str, str]]:
+    """Records that begin in the bytes [start, end) of a plain file.
+
+    A line is a header if it begins with @ and the next line but one with +: a quality line may begin with @ too, but two
+    lines below it stands a sequence."""
+    raw, _ = _seekable(path)
+    with raw, io.BufferedReader(raw, 1 << 20) if not hasattr(raw, "peek") else raw as text:
+        at = max(0, start - 1)
+        text.seek(at)
+        if start:
+            at += len(text.readline())  # the rest of a line that began before
+        held: list[bytes] = []
+
+        def line() -> bytes:
+            return held.pop(0) if held else text.readline()
+
+        if start:
+            held = [text.readline() for _ in range(6)]
+            while held[0] and not (held[0][:1] == b"@" and held[2][:1] == b"+"):
+                at += len(held.pop(0))
+                held.append(text.readline())
+        while at < end and (header := line()):
+            sequence, plus, quality = line(), line(), line()
+            if not plus:
+                raise ValueError(f"truncated FASTQ record in {path}")
+            at += len(header) + len(sequence) + len(plus) + len(quality)
+            yield tuple(x.rstrip(b"\r\n").decode("utf-8") for x in (header, sequence, quality))
+
+
+class _Range(InputPartition):
+    def __init__(self, sample: str, read_no: int, path: str, split: int, start: int, end: int):
+        self.sample, self.read_no, self.path, self.split, self.start, self.end = sample, read_no, path, split, start, end
+
+
+class _RangeReader(DataSourceReader):
+    def __init__(self, options: dict):
+        self.samples = [SampleFiles(*s) for s in json.loads(options["samples"])]
+        self.bytes = int(options.get("splitbytes") or SPLIT_BYTES)
+
+    def partitions(self) -> list[InputPartition]:
+        """Ranges of bytes of all files."""
+        out = []
+        for s in self.samples:
+            for n, path in enumerate((s.r1, s.r2), 1):
+                if path:
+                    if path.endswith(".gz"):
+                        raise ValueError(f"{path} is compressed and can't be split")
+                    raw, size = _seekable(path)
+                    raw.close()
+                    out += [_Range(s.sample, n, path, k, a, a + self.bytes) for k, a in enumerate(range(0, size, self.bytes))]
+        return out
+
+    def read(self, p: _Range) -> Iterator[pa.RecordBatch]:
+        records, at = split_records(p.path, p.start, p.end), 0
+        names, text = [c.split()[0] for c in SPLIT_SCHEMA.split(", ")], pa.string()
+        while rows := list(islice(records, BATCH)):
+            n = len(rows)
+            head = [pa.array([p.sample] * n, text), pa.array([p.read_no] * n, pa.int32()), pa.array([p.split] * n, pa.int64())]
+            numbers = pa.array(range(at, at + n), pa.int64())
+            yield pa.RecordBatch.from_arrays([*head, numbers, *[pa.array([r[i] for r in rows], text) for i in range(3)]], names)
+            at += n
+
+
+class FastqSplitSource(DataSource):
+    """Records of plain FASTQ files by ranges of bytes, with their place in the range."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "fastq_split"
+
+    def schema(self) -> str:
+        return SPLIT_SCHEMA
+
+    def reader(self, schema) -> DataSourceReader:
+        return _RangeReader(self.options)
+
+
+def read_fastq_split(spark: SparkSession, found: dict[str, SampleFiles] | list[SampleFiles], split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """The same rows as read_fastq(), of plain files of any size: ranges are counted in a first pass, prefix sums number their
+    records, and the second reads join the first ones by sample and number."""
+    spark.dataSource.register(FastqSplitSource)
+    samples = list(found.values() if isinstance(found, dict) else found)
+    option = json.dumps([[s.sample, s.r1, s.r2] for s in samples])
+    rows = spark.read.format("fastq_split").option("samples", option).option("splitbytes", split_bytes).load()
+    file_ranges = Window.partitionBy("sample", "read_no").orderBy("split")  # a row per range
+    ranges = cut(rows.groupBy("sample", "read_no", "split").agg(F.count(F.lit(1)).alias("n")))
+    ranges = ranges.withColumn("first", F.sum("n").over(file_ranges) - F.col("n")).drop("n")
+    few = ranges.count() <= 200_000
+    numbered = rows.join(F.broadcast(ranges) if few else ranges, ["sample", "read_no", "split"])
+    numbered = numbered.withColumn("read_idx", F.col("first") + F.col("at") + 1)
+    part = lambda n: numbered.filter(F.col("read_no") == n).select(
+        "sample", "read_idx", *[F.col(c).alias(f"r{n}_{c}") for c in ("header", "seq", "qual")]
+    )
+    single = [s.sample for s in samples if not s.r2]
+    paired = part(1).filter(~F.col("sample").isin(single)).join(part(2), ["sample", "read_idx"])
+    alone = part(1).filter(F.col("sample").isin(single))
+    whole = paired.withColumn("mode", F.lit("PE")).unionByName(alone.withColumn("mode", F.lit("SE")), allowMissingColumns=True)
+    return whole.select(*[c.split()[0] for c in SCHEMA.split(", ")])

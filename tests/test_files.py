@@ -9,7 +9,7 @@ import pytest
 
 from readloom.cli import main
 from readloom.sources import discovery
-from readloom.sources.fastq import read_fastq, records
+from readloom.sources.fastq import read_fastq, read_fastq_split, records, split_records
 
 P1, P2 = "GCCACTCGAGCACCTAGGAGG", "AATCAGTCCAGTTATGCTGTGAA"
 DOWN = "GCCACGGCCGCGTCGACCCCACGCCCCTCTTTAATACGACGGGCAATTTGCACTTCAG"
@@ -125,3 +125,30 @@ def test_discovery(tmp_path):
     for names, mode in ((["Col-1"], "pe"), (["plain"], "pe"), (["both"], "se"), (["Col"], "auto"), (["Col-2"], "auto"), (["plain", "plain"], "auto"), (["plain"], "xx")):
         with pytest.raises(ValueError):
             find(names, mode)
+
+
+def odd_reads(rng):
+    """Qualities that begin like headers, and like the line between."""
+    return [(letters(rng, n), "".join(rng.choice("@+I") for _ in range(n))) for n in [rng.randrange(1, 30) for _ in range(12)]]
+
+
+@pytest.mark.parametrize("split_bytes", [1, 7, 17, 100, 10**6])
+def test_every_record_is_in_one_range(tmp_path, split_bytes):
+    path = str(tmp_path / "x.fq")
+    write(path, odd_reads(random.Random(split_bytes)))
+    size = os.path.getsize(path)
+    got = [r for a in range(0, size, split_bytes) for r in split_records(path, a, a + split_bytes)]
+    assert got == list(records(path)) and len(got) == 12
+
+
+def test_splits_give_the_same_reads(spark, tmp_path):
+    reads = odd_reads(random.Random(3))
+    write(str(tmp_path / "p_R1.fq"), reads)
+    write(str(tmp_path / "p_R2.fq"), [(s[::-1], q[::-1]) for s, q in reads[:10]])
+    write(str(tmp_path / "s.fastq"), reads[::-1])
+    found = discovery.find_samples(["p", "s"], str(tmp_path))
+    a, b = (sorted(map(tuple, df.collect())) for df in (read_fastq(spark, found), read_fastq_split(spark, found, 250)))
+    assert a == b and len(a) == 22
+    with pytest.raises(Exception, match="compressed"):
+        write(str(tmp_path / "z.fq.gz"), reads)
+        read_fastq_split(spark, [discovery.SampleFiles("z", str(tmp_path / "z.fq.gz"))]).collect()
