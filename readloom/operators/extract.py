@@ -78,7 +78,7 @@ def unmatched_tally(failed: DataFrame, top: int | None = 50) -> DataFrame:
     if top is None:
         return counts
     order = Window.partitionBy("sample").orderBy(F.desc("n_reads"), "first_idx", "sequence_prefix")
-    return counts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= top)
+    return counts.withColumn("place", F.row_number().over(order).cast("long")).filter(F.col("place") <= top)
 
 
 def unmatched_of(classified: DataFrame) -> DataFrame:
