@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.shared import cut
+
 #: Hashes kept per set: the union's size has a standard error of 1/sqrt(K), 1.6 %.
 K = 4096
 #: Input partitions whose hashes of a set are merged in one task before those of all are.
@@ -90,7 +92,9 @@ def estimated_overlaps(sets: DataFrame, k: int = K) -> DataFrame:
 
 def exact_overlaps(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """Adds the exact `n_a`, `n_b` and `n_shared` to given pairs (`set_a`, `set_b`); only their sets' items are joined."""
-    items = sets.select("set_id", "item").dropna().distinct()
+    pairs = cut(pairs)
+    named = pairs.select(F.col("set_a").alias("set_id")).union(pairs.select("set_b")).distinct()
+    items = sets.select("set_id", "item").dropna().join(named, "set_id", "left_semi").distinct()
     sizes = items.groupBy("set_id").agg(F.count(F.lit(1)).alias("n"))
     first = pairs.join(items.withColumnRenamed("set_id", "set_a"), "set_a")
     shared = (
