@@ -15,6 +15,14 @@ def rev_comp(s: Column) -> Column:
     return F.reverse(F.translate(s, "ACGTNacgtn", "TGCANtgcan"))
 
 
+_PAIRS = str.maketrans("ACGTNacgtn", "TGCANtgcan")
+
+
+def complement(s: str) -> str:
+    """rev_comp() of a string."""
+    return s.translate(_PAIRS)[::-1]
+
+
 def hamming(a: Column, b: Column) -> Column:
     """Differing positions, case counts; NULL for unequal lengths."""
     differing = F.filter(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x != y), lambda d: d)
@@ -64,22 +72,24 @@ def overlap_distance(a: str, b: str, k: int) -> int | None:
     return best
 
 
-def best_overlap_distance(a: Column, b: Column, k: int) -> Column:
-    """overlap_distance() of columns. Pairs that share a k-mer, nearly all of them, are settled in the JVM; the others go
-    to an Arrow function."""
+def share_kmer(a: Column, b: Column, k: int) -> Column:
+    """Whether some k-mer of one stands in the other, whatever the case; false if one is shorter than k, null for nulls."""
     x, y = F.upper(a), F.upper(b)
     starts = F.sequence(F.lit(1), F.greatest(F.length(x) - (k - 1), F.lit(1)))
-    shared = F.exists(starts, lambda i: F.contains(y, F.substring(x, i, F.lit(k))))
-    long_enough = (F.length(x) >= k) & (F.length(y) >= k)
+    found = F.contains(y, F.substring(x, 1, k)) | F.exists(starts, lambda i: F.contains(y, F.substring(x, i, F.lit(k))))
+    return (F.length(x) >= k) & (F.length(y) >= k) & found
+
 
+def best_overlap_distance(a: Column, b: Column, k: int) -> Column:
+    """overlap_distance() of columns. Pairs that share a k-mer, nearly all of them, are settled in the JVM; the others go
+    to an Arrow function."""
     @F.pandas_udf("int")
     def kernel(s: pd.Series, t: pd.Series) -> pd.Series:
         return pd.Series([None if p is None or q is None else overlap_distance(p, q, k) for p, q in zip(s, t)], dtype="Int32")
 
-    equal = long_enough & shared
-    rest = long_enough & ~shared
+    shared = share_kmer(a, b, k)
     # not evaluated again for each use of the result
-    return F.when(equal, F.lit(0)).otherwise(kernel.asNondeterministic()(F.when(rest, x), F.when(rest, y)))
+    return F.when(shared, F.lit(0)).otherwise(kernel.asNondeterministic()(F.when(~shared, a), F.when(~shared, b)))
 
 
 def register(spark: SparkSession) -> None:

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 
 from ..design import Design
 from .motifs import strict_pattern
+from .sequences import complement, overlap_distance
 
 PARTS = "struct<idx: string, umi: string, barcode: string, down: string>"
+BOTH = (
+    "struct<idx1: string, umi1: string, barcode: string, down1: string, idx2: string, umi2: string, down2: string, dist: int>"
+)
 
 
 def fuzzy_pattern(design: Design, read: int) -> str:
@@ -46,6 +50,49 @@ def fuzzy_parts(seq: Column, design: Design, read: int) -> Column:
     return match.asNondeterministic()(seq)
 
 
+def fuzzy_read(seq1: Column, seq2: Column, design: Design) -> Column:
+    """The parts of both reads by the fuzzy structure and, where both have them, their overlap distance: one Arrow function
+    over the reads that the native path leaves open. Read 2 may be null."""
+    first, second = fuzzy_pattern(design, 1), fuzzy_pattern(design, 2)
+    names = [f.split(":")[0] for f in BOTH.removeprefix("struct<").split(", ")]
+
+    @F.pandas_udf(BOTH)
+    def match(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        import regex
+
+        one, two = regex.compile(first, regex.IGNORECASE), regex.compile(second, regex.IGNORECASE)
+        nothing = (None,) * len(names)
+        for s, t in batches:
+            rows = [nothing] * len(s)
+            for i in s.notna().to_numpy().nonzero()[0]:
+                a = one.match(s.iloc[i])
+                b = two.match(t.iloc[i]) if t.iloc[i] is not None else None
+                own = (a["idx"], a["umi"], a["barcode"], a["down"]) if a else (None,) * 4
+                other = (b["idx"], b["umi"], b["down"]) if b else (None,) * 3
+                apart = overlap_distance(a["down"], complement(b["down"]), design.overlap_k) if a and b else None
+                rows[i] = (*own, *other, apart)
+            yield pd.DataFrame(rows, columns=names, dtype=object)
+
+    # the optimizer would evaluate a deterministic function once for every column and filter that uses a part
+    return match.asNondeterministic()(seq1, seq2)
+
+
+def primer_possible(seq: Column, design: Design, read: int) -> Column:
+    """False for reads that the fuzzy structure can't fit: of edits + 1 pieces of the primer one at least stands unharmed
+    in the read, no further from its place than there are edits."""
+    if read == 1:
+        at, primer, edits = design.index1_len + design.umi1_len, design.inner_p1_primer, design.primer1_max_edits
+    else:
+        at, primer, edits = design.index2_len + design.umi2_len, design.inner_p2_primer, design.primer2_max_edits
+    n, possible = len(primer), F.lit(False)
+    for i in range(edits + 1):
+        start, end = n * i // (edits + 1), n * (i + 1) // (edits + 1)
+        first = max(0, at + start - edits)
+        near = F.upper(F.substring(seq, first + 1, at + end + edits - first))
+        possible = possible | F.contains(near, F.lit(primer[start:end].upper()))
+    return possible
+
+
 def exact_parts(seq: Column, design: Design, read: int) -> Column:
     """The parts of a read whose primer has no error, natively; NULL for other reads."""
     if read == 1:

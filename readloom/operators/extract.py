@@ -6,47 +6,45 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..design import Design
-from ..functions.sequences import best_overlap_distance, quality_ok, rev_comp
-from ..functions.structure import exact_parts, fuzzy_parts
+from ..functions.sequences import quality_ok, rev_comp, share_kmer
+from ..functions.structure import exact_parts, fuzzy_read, primer_possible
 
 PASSED, QUALITY, STRUCTURE, OVERLAP = "passed", "quality_fail", "regex_fail", "overlap_fail"
 
 
-def _parts(df: DataFrame, seq: str, read: int, wanted: Column, design: Design, out: str) -> DataFrame:
-    """Adds a read's parts: natively where the primer is exact, by the fuzzy structure for the other wanted reads."""
-    df = df.withColumn("_fast", F.when(wanted, exact_parts(F.col(seq), design, read)))
-    rest = F.when(wanted & F.col("_fast").isNull(), F.col(seq))
-    df = df.withColumn("_slow", fuzzy_parts(rest, design, read))
-    fields = ("idx", "umi", "barcode", "down")
-    either = F.struct(*[F.coalesce(f"_fast.{f}", f"_slow.{f}").alias(f) for f in fields])
-    return df.withColumn(out, either).drop("_fast", "_slow")
-
-
 def classify(reads: DataFrame, design: Design = Design()) -> DataFrame:
-    """Adds to reads (`r1_seq`, `r1_qual`, `r2_seq`, `r2_qual`, null for single-end ones) `status` and the parts `p1` and
-    `p2` (idx, umi, barcode, down) with `best_overlap_dist`.
+    """Adds to reads (`r1_seq`, `r1_qual`, `r2_seq`, `r2_qual`, null for single-end ones) `status` and the parts `p1` (idx,
+    umi, barcode, down) and `p2` (idx, umi, down) with `best_overlap_dist`.
 
     The first failure counts: quality, then structure, then the overlap of paired reads. A null read 1 fails by quality.
-    Nothing is shuffled; only reads with an error in a primer, or without a shared k-mer, reach Python.
+    Nothing is shuffled; only reads with a few errors in a primer, or pairs without a shared k-mer, reach Python, once.
     """
     paired = F.col("r2_seq").isNotNull()
     good = quality_ok(F.col("r1_qual"), design.r1_quality_len, design.qmin) & F.col("r1_seq").isNotNull()
     good2 = quality_ok(F.col("r2_qual"), design.r2_quality_len, design.qmin)
     df = reads.withColumn("_good", good & (~paired | good2))
-    df = _parts(df, "r1_seq", 1, F.col("_good"), design, "p1")
-    df = _parts(df, "r2_seq", 2, F.col("_good") & paired, design, "p2")
-    fits = F.col("p1.idx").isNotNull() & (~paired | F.col("p2.idx").isNotNull())
-    df = df.withColumn("_fits", fits)
-    compared = F.col("_good") & F.col("_fits") & paired
-    distance = best_overlap_distance(
-        F.when(compared, F.col("p1.down")), F.when(compared, rev_comp(F.col("p2.down"))), design.overlap_k
+    df = df.withColumn("_f1", F.when(F.col("_good"), exact_parts(F.col("r1_seq"), design, 1)))
+    df = df.withColumn("_f2", F.when(F.col("_good") & paired, exact_parts(F.col("r2_seq"), design, 2)))
+    near = share_kmer(F.col("_f1.down"), rev_comp(F.col("_f2.down")), design.overlap_k)
+    known = F.when(paired, near).otherwise(F.col("_f1.idx").isNotNull())
+    df = df.withColumn("_known", F.coalesce(known, F.lit(False)))
+    possible = primer_possible(F.col("r1_seq"), design, 1) & (~paired | primer_possible(F.col("r2_seq"), design, 2))
+    open_ = F.col("_good") & ~F.col("_known") & possible
+    df = df.withColumn("_s", fuzzy_read(F.when(open_, F.col("r1_seq")), F.when(open_, F.col("r2_seq")), design))
+    either = lambda fast, slow: F.when(F.col("_known"), F.col(fast)).otherwise(F.col(f"_s.{slow}")).alias(fast[4:])
+    df = df.withColumns(
+        {
+            "p1": F.struct(either("_f1.idx", "idx1"), either("_f1.umi", "umi1"), either("_f1.barcode", "barcode"), either("_f1.down", "down1")),
+            "p2": F.struct(either("_f2.idx", "idx2"), either("_f2.umi", "umi2"), either("_f2.down", "down2")),
+            "best_overlap_dist": F.when(F.col("_known") & paired, F.lit(0)).otherwise(F.col("_s.dist")),
+        }
     )
-    df = df.withColumn("best_overlap_dist", distance)
+    df = df.withColumn("_fits", F.col("p1.idx").isNotNull() & (~paired | F.col("p2.idx").isNotNull()))
     apart = paired & (F.col("best_overlap_dist").isNull() | (F.col("best_overlap_dist") > design.overlap_max_mismatch))
     status = (
         F.when(~F.col("_good"), QUALITY).when(~F.col("_fits"), STRUCTURE).when(apart, OVERLAP).otherwise(PASSED)
     )
-    return df.withColumn("status", status).drop("_good", "_fits")
+    return df.withColumn("status", status).drop("_good", "_fits", "_f1", "_f2", "_known", "_s")
 
 
 def parsed_rows(classified: DataFrame) -> DataFrame:

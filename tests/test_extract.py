@@ -10,7 +10,7 @@ from readloom.functions.motifs import fixed_bases, motif_tolerant, strict_patter
 from readloom.functions.sequences import (
     best_overlap_distance, hamming, index_matches, levenshtein_within, quality_ok, register, rev_comp,
 )
-from readloom.functions.structure import exact_parts, fuzzy_parts, fuzzy_pattern
+from readloom.functions.structure import exact_parts, fuzzy_parts, fuzzy_pattern, primer_possible
 from readloom.operators import extract
 
 D = Design()
@@ -107,9 +107,13 @@ def test_native_path_equals_the_fuzzy_structure(spark):
         reads.append(rng.choice([text, text.lower(), text + "xyzACGT", text[: rng.randrange(1, len(text))]]))
     whole = regex.compile(fuzzy_pattern(D, 1), regex.IGNORECASE)
     df = spark.createDataFrame([(r,) for r in reads], "s string")
-    got = df.select("s", exact_parts(F.col("s"), D, 1).alias("x"), fuzzy_parts(F.col("s"), D, 1).alias("y")).collect()
+    got = df.select(
+        "s", exact_parts(F.col("s"), D, 1).alias("x"), fuzzy_parts(F.col("s"), D, 1).alias("y"), primer_possible(F.col("s"), D, 1).alias("z")
+    ).collect()
     seen = 0
-    for s, x, y in got:
+    assert not all(r["z"] for r in got)
+    for s, x, y, z in got:
+        assert z or y["idx"] is None
         m = whole.match(s)
         assert (y["idx"] is None) == (m is None)
         if m:
