@@ -7,7 +7,7 @@ import io
 import json
 import os
 from collections.abc import Iterator
-from itertools import islice
+from itertools import islice, repeat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -36,15 +36,25 @@ def _lines(path: str) -> io.TextIOBase:
     return io.TextIOWrapper(gzip.open(raw) if path.endswith(".gz") else raw, encoding="utf-8", newline=None)
 
 
-def records(path: str) -> Iterator[tuple[str, str, str]]:
-    """Header, sequence and quality of each record of four lines. Ends where no further line follows a record; ValueError
-    where one breaks off before its third line."""
+def record_batches(path: str, size: int = BATCH) -> Iterator[tuple[list[str], list[str], list[str]]]:
+    """Headers, sequences and qualities of up to `size` records of four lines at a time. Ends where no further line follows a
+    record; ValueError where one breaks off before its third line (a blank line at the end is such a record)."""
     with _lines(path) as text:
-        while header := text.readline():
-            sequence, plus, quality = (text.readline() for _ in range(3))
-            if not plus:
+        while lines := [line.rstrip("\n") for line in islice(text, 4 * size)]:
+            whole = len(lines) - len(lines) % 4
+            if len(lines) % 4 == 3:
+                lines.append("")
+                whole += 4
+            if whole:
+                yield lines[0:whole:4], lines[1:whole:4], lines[3:whole:4]
+            if whole < len(lines):
                 raise ValueError(f"truncated FASTQ record in {path}")
-            yield header.rstrip("\n"), sequence.rstrip("\n"), quality.rstrip("\n")
+
+
+def records(path: str) -> Iterator[tuple[str, str, str]]:
+    """The same, record by record."""
+    for batch in record_batches(path):
+        yield from zip(*batch)
 
 
 class _Sample(InputPartition):
@@ -61,17 +71,17 @@ class _Reader(DataSourceReader):
         return [_Sample(s.sample, s.r1, s.r2) for s in self.samples]
 
     def read(self, partition: _Sample) -> Iterator[pa.RecordBatch]:
-        none = (None, None, None)
-        second = records(partition.r2) if partition.r2 else None
-        pairs = zip(records(partition.r1), second) if second else ((r, none) for r in records(partition.r1))
-        mode, at = "PE" if second else "SE", 0
+        mode, at = "PE" if partition.r2 else "SE", 0
         text, names = pa.string(), [c.split()[0] for c in SCHEMA.split(", ")]
-        while rows := list(islice(pairs, BATCH)):
-            n = len(rows)
-            parts = [pa.array([r[k][i] for r in rows], text) for k in (0, 1) for i in range(3)]
+        second = record_batches(partition.r2) if partition.r2 else repeat(([None] * BATCH,) * 3)
+        for one, two in zip(record_batches(partition.r1), second):
+            n = min(len(one[0]), len(two[0]))
             head = [pa.array([partition.sample] * n, text), pa.array([mode] * n, text), pa.array(range(at + 1, at + n + 1), pa.int64())]
+            parts = [pa.array(column[:n], text) for column in (*one, *two)]
             yield pa.RecordBatch.from_arrays([*head, *parts], names)
             at += n
+            if n < BATCH:
+                break  # the shorter file has ended
 
 
 class FastqSource(DataSource):
