@@ -23,39 +23,39 @@ def fixed(value: str | Column, places: int) -> Column:
     return F.format_string(f"%.{places}f", F.bround(value, places))
 
 
-def _place(written: str, wanted: dict[str, str]) -> None:
-    """Moves Spark's part files (of a shared file system) to the names wanted for their folders."""
-    for folder, target in wanted.items():
-        parts = sorted(glob.glob(os.path.join(written, folder, "part-*")))
-        os.makedirs(os.path.dirname(target), exist_ok=True)
-        if parts:
-            shutil.move(parts[0], target)
+def _join(folder: str, target: str, names: list[str], sep: str) -> None:
+    """Puts Spark's sorted part files (of a shared file system) behind a header into one file, as streams of bytes."""
+    parts = glob.glob(os.path.join(folder, "part-*"))
+    with open(target, "w", newline="") as f:
+        csv.writer(f, delimiter=sep, lineterminator="\n").writerow(names)
+    with open(target, "ab") as out:
+        for part in sorted(parts, key=lambda p: (int(os.path.basename(p).split("-")[1]), p)):
+            with open(part, "rb") as own:
+                shutil.copyfileobj(own, out, 1 << 20)
+
+
+def _options(sep: str) -> dict:
+    return {"sep": sep, "emptyValue": "", "nullValue": "", "quote": '"' if sep == "," else "\0"}
 
 
 def one_file(df: DataFrame, target: str, order: list, shown: list[str]) -> None:
-    """One sorted CSV file with a header: the format asks for it. """
+    """One sorted CSV file. Spark sorts and formats in parallel."""
     tmp = f"{target}.{uuid.uuid4().hex}"
-    columns = [F.col(f"`{c}`") for c in shown]
-    df.repartition(1).sortWithinPartitions(*order).select(*columns).write.csv(tmp, header=True, emptyValue="", nullValue="")
-    _place(tmp, {"": target})
+    df.orderBy(*order).select(*[F.col(f"`{c}`") for c in shown]).write.csv(tmp, **_options(","))
+    _join(tmp, target, shown, ",")
     shutil.rmtree(tmp)
 
 
 def per_sample(df: DataFrame, samples: list[str], folder: str, ending: str, sep: str = "\t", with_sample: bool = False) -> None:
     """A file per sample, in the order of the column `_o`, which isn't written; samples without rows get a header only.
-    Each sample is a task of its own, sorted there (with spill)."""
+    Rows are split by ranges of (sample, order), so that a large sample takes several tasks."""
     os.makedirs(folder, exist_ok=True)
     tmp = os.path.join(folder, f"_{uuid.uuid4().hex}")
     keep = [c for c in df.columns if c != "_o" and (c != "sample" or with_sample)]
-    own = df.withColumn("_s", F.col("sample")).repartition("_s").sortWithinPartitions("_s", "_o").select(*keep, "_s")
-    quote = '"' if sep == "," else "\0"
-    own.write.partitionBy("_s").csv(tmp, sep=sep, header=True, emptyValue="", nullValue="", quote=quote)
+    ranges = df.withColumn("_s", F.col("sample")).repartitionByRange("_s", "_o").sortWithinPartitions("_s", "_o")
+    ranges.select(*keep, "_s").write.partitionBy("_s").csv(tmp, **_options(sep))
     for sample in samples:
-        target = os.path.join(folder, sample + ending)
-        _place(tmp, {f"_s={_escaped(sample)}": target})
-        if not os.path.exists(target):
-            with open(target, "w") as f:
-                f.write(sep.join(keep) + "\n")
+        _join(os.path.join(tmp, f"_s={_escaped(sample)}"), os.path.join(folder, sample + ending), keep, sep)
     shutil.rmtree(tmp)
 
 

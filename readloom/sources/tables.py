@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,25 +29,32 @@ def index_map(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parsed_tables(spark: SparkSession, paths: list[str], ending: str) -> DataFrame:
-    """Rows of parsed (or kept) tables, PE and SE alike, `sample` from the file name less `ending`, `read_idx` in the order
-    of the file. Files with the older column name `Combined UMI` are read too; the Barcode and UMI columns are required."""
-    out = None
+    """Rows of parsed (or kept) tables, PE and SE alike, `sample` from the file name less `ending`, `read_idx` rising in the
+    order of the file. Files with the older column name `Combined UMI` are read too; the Barcode and UMI columns are required."""
+    if not paths:
+        raise ValueError("no tables to read")
+    kinds: dict[str, list[str]] = {}  # files by header: a scan for each kind, however many samples there are
     for path in paths:
-        df = spark.read.csv(path, sep="\t", header=True, quote="", escape="")
-        if "Combined UMI" in df.columns:
-            df = df.withColumnRenamed("Combined UMI", "Combined_UMI")
-        missing = {"Combined_UMI", "Barcode"} - set(df.columns)
+        with open(path) as f:
+            kinds.setdefault(f.readline().rstrip("\r\n"), []).append(path)
+    parts = []
+    for header, own in kinds.items():
+        columns = header.replace("Combined UMI", "Combined_UMI").split("\t")
+        missing = {"Combined_UMI", "Barcode"} - set(columns)
         if missing:
-            raise ValueError(f"{path} has no column {', '.join(sorted(missing))}")
-        have = [F.col(c).alias(n) if c in df.columns else F.lit(None).cast("string").alias(n) for c, n in PARSED.items()]
+            raise ValueError(f"{own[0]} has no column {', '.join(sorted(missing))}")
+        schema = ", ".join(f"`{c}` string" for c in columns)
+        df = spark.read.csv(own, sep="\t", header=True, quote="", escape="", schema=schema, enforceSchema=True)
+        have = [F.col(c).alias(n) if c in columns else F.lit(None).cast("string").alias(n) for c, n in PARSED.items()]
         sample = F.regexp_replace(_file_name(), ending.replace(".", r"\.") + "$", "")
-        df = df.select(sample.alias("sample"), F.monotonically_increasing_id().alias("read_idx"), *have)
-        out = df if out is None else out.unionByName(df)
-    if out is None:
-        raise ValueError("no tables to read")
-    return out.withColumn("best_overlap_dist", F.try_to_number("best_overlap_dist", F.lit("999")).cast("int")).withColumn(
-        "mode", F.when(F.col("index2").isNull(), "SE").otherwise("PE")
-    )
+        # the block's place in the file, in MB, then the row's in its task
+        block = F.shiftleft(F.shiftright(F.col("_metadata.file_block_start"), 20), 33)
+        row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+        parts.append(df.select(sample.alias("sample"), (block + row).alias("read_idx"), *have))
+    out = reduce(DataFrame.unionByName, parts)
+    distance = F.try_to_number("best_overlap_dist", F.lit("999")).cast("int")
+    mode = F.when(F.col("index2").isNull(), "SE").otherwise("PE")
+    return out.withColumn("best_overlap_dist", distance).withColumn("mode", mode)
 
 
 def corrected_tables(spark: SparkSession, path: str) -> DataFrame:
