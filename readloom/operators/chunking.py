@@ -14,7 +14,8 @@ from ..plans.shared import cut
 
 #: A chunk's rows: at least the first, at most the second; between them a ten-thousandth of the table.
 CHUNK_ROWS = (50_000, 1_000_000)
-#: So many heavy keys and (partition, heavy key) offsets, of some 40 bytes each, may be broadcast.
+#: So many heavy keys, or offsets of (partition, heavy key), of some 40 bytes each, may be broadcast. Up to 10^10 rows there
+#: are no more than 10,000 heavy keys; offsets beyond the limit are joined by (partition, key), as rows are numbered anyway.
 BROADCAST_ROWS = 200_000
 
 
@@ -53,8 +54,8 @@ def keyed_summary(
         .select("part", "k", "start")
     )
     offsets = cut(offsets)
-    n_offsets = offsets.count()
-    heavy = small(offsets.select("k").distinct(), n_offsets)
+    n_offsets, n_heavy = offsets.agg(F.count(F.lit(1)), F.count_distinct("k")).first()
+    heavy = small(offsets.select("k").distinct(), n_heavy)
 
     states = [F.count(F.lit(1)).alias("n"), F.min("t").alias("t0"), F.max("t").alias("t1")] + [
         F.collect_set(n).alias(n) for n in d
