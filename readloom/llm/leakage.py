@@ -10,15 +10,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.shared import spread
+from ..plans.shared import cut, spread
 from .fm_index import FMIndex
 
 #: A shared run of at least so many words is a leak.
 RUN = 9
 #: Words in a shard's index, at least; longer texts are indexed in pieces that overlap by RUN - 1 words.
 SHARD_WORDS = 400_000
-#: Passages handled in one pass over the documents.
-PASS_ITEMS = 20_000
+#: Words of a piece of a passage; longer passages are searched in pieces that overlap by RUN - 1 words.
+PIECE_WORDS = 2_000
+#: Letters of passages handled in one pass over the documents, about: it bounds what the driver holds and broadcasts.
+PASS_CHARS = 4_000_000
 
 #: Longest runs of letters or digits of any script.
 WORD = re.compile(r"[^\W_]+")
@@ -107,21 +109,35 @@ def _find(batches: Iterator[pa.RecordBatch], phrases: Phrases) -> Iterator[pa.Re
         yield found()
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Passages (item_id, item_text) to pieces of their words, parted by blanks; those too short to match are left out."""
+    for batch in batches:
+        out: list[tuple[int, str]] = []
+        for item_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            own = words(text)
+            for at in range(0, len(own) - RUN + 1, PIECE_WORDS):
+                out.append((item_id, " ".join(own[at : at + PIECE_WORDS + RUN - 1])))
+        columns = [pa.array([i for i, _ in out], pa.int64()), pa.array([t for _, t in out], pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, ["item_id", "item_text"])
+
+
 def leaked_spans(documents: DataFrame, items: DataFrame) -> DataFrame:
     """Spans of words of documents' `text` that stand in a passage too, `start_word` up to before `end_word`, the
     overlapping ones of a document and passage merged: `doc_id`, `item_id`, `start_word`, `end_word`.
 
     Passages of fewer than RUN words, and null or empty texts, match nothing. Rows with a null doc_id or item_id are
     ignored, repeated rows give their spans once, empty tables give no row, other columns are not read. Texts of any
-    length are indexed whole. Passages are searched PASS_ITEMS at a time: each time every shard is indexed over their
-    words, so that no task ever holds more than one shard and one block of passages; documents are not shuffled.
+    length are indexed whole. Passages of any number and length are searched some PASS_CHARS letters at a time: each time
+    every shard is indexed over their words, so that no task ever holds more than one shard and one block of passages;
+    documents are not shuffled.
     """
     texts = spread(documents.filter("doc_id is not null").select("doc_id", "text"))
-    kept = items.filter("item_id is not null and item_text is not null").select("item_id", "item_text").distinct()
-    blocks = -(-kept.count() // PASS_ITEMS)
+    kept = items.filter("item_id is not null and item_text is not null").select("item_id", "item_text")
+    pieces = cut(kept.mapInArrow(_pieces, "item_id long, item_text string").distinct())
+    blocks = -(-pieces.agg(F.coalesce(F.sum(F.length("item_text")), F.lit(0))).first()[0] // PASS_CHARS)
     parts = []
     for k in range(blocks):
-        own = kept.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
+        own = pieces.filter(F.pmod(F.xxhash64("item_id", "item_text"), F.lit(blocks)) == k)
         sent = documents.sparkSession.sparkContext.broadcast(Phrases([tuple(r) for r in own.toLocalIterator()]))
         parts.append(texts.mapInArrow(lambda b, sent=sent: _find(b, sent.value), SPANS))
     spans = documents.sparkSession.createDataFrame([], SPANS)

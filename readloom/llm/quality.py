@@ -101,20 +101,32 @@ def learn_rules(stats: DataFrame, label: Column, labelled: int = LABELLED, featu
     return induce(x, np.array([r["label"] for r in rows], bool))
 
 
-def judged(documents: DataFrame, common_words: DataFrame) -> DataFrame:
+def unrefuted(stats: DataFrame, rules: list, junk_like: Column, features: list[str] = FEATURES) -> list:
+    """The rules that cover no row of `stats` for which `junk_like` holds: one count for each over all rows. What a struck
+    rule covered falls to the later rules or to none."""
+    if not rules:
+        return rules
+    hits = [F.count_if(F.expr(to_sql([rule], features, "yes", "no")) == "yes").alias(f"r{i}") for i, rule in enumerate(rules)]
+    seen = stats.filter(junk_like).agg(*hits).first()
+    return [rule for rule, n in zip(rules, seen) if n == 0]
+
+
+def judged(documents: DataFrame, common_words: DataFrame, labelled: int = LABELLED) -> DataFrame:
     """The statistics with `verdict`, 'prose' or 'suspect', by the learned rule list applied as one CASE expression.
 
     Labels come from the stated marks: prose bears none. The rules describe prose, and each covers labelled prose only; what
-    they don't know is suspect. So a text of two marks passes for prose only where the rules miss both."""
+    they don't know is suspect. They come from a bounded number of rows, so a rule that covers a text of two marks
+    anywhere in the whole table is struck: no such text passes for prose. Nulls, empty and blank texts are suspect, repeated
+    rows each get their verdict, an empty table gives no row."""
     stats = cut(text_statistics(spread(documents.select("doc_id", "text")), common_words))
     visible = stats.filter(F.col("n_visible") > 0)
-    rules = learn_rules(visible, defects() == 0)
+    rules = unrefuted(visible, learn_rules(visible, defects() == 0, labelled), defects() >= 2)
     verdict = F.when(F.col("n_visible") == 0, F.lit("suspect")).otherwise(F.expr(to_sql(rules, FEATURES, "prose", "suspect")))
     return stats.withColumn("verdict", verdict)
 
 
-def junk(documents: DataFrame, common_words: DataFrame) -> DataFrame:
+def junk(documents: DataFrame, common_words: DataFrame, labelled: int = LABELLED) -> DataFrame:
     """`doc_id` of texts with a visible character that are no natural prose: the rule list's suspects, checked against
-    the stated marks."""
-    suspects = judged(documents, common_words).filter((F.col("verdict") == "suspect") & (F.col("n_visible") > 0))
+    the stated marks. Complete however few rows the rules were induced from; these only set how many suspects there are."""
+    suspects = judged(documents, common_words, labelled).filter((F.col("verdict") == "suspect") & (F.col("n_visible") > 0))
     return suspects.filter(defects() >= 2).select("doc_id")

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from readloom.llm.fm_index import FMIndex, WaveletMatrix, suffix_array
 from readloom.llm.leakage import RUN, Phrases, leaked_spans, leaks, shard_spans, words
-from readloom.llm.quality import FEATURES, defects, judged, junk, learn_rules, text_statistics
+from readloom.llm.quality import FEATURES, defects, judged, junk, learn_rules, text_statistics, unrefuted
 from readloom.llm.queries import ranks_path
+from readloom.llm.rules import Test as RuleTest
 from readloom.llm.rules import covered, induce, to_sql
 from readloom.llm.tokenizing import PATTERN, load_ranks, merge_word, token_ids
 from readloom.llm.transducer import Lexicon
@@ -126,7 +127,8 @@ def test_leaks(spark, monkeypatch, shard):
 
 
 def test_leaks_in_blocks_of_items_and_long_texts(spark, monkeypatch):
-    monkeypatch.setattr("readloom.llm.leakage.PASS_ITEMS", 10)
+    monkeypatch.setattr("readloom.llm.leakage.PASS_CHARS", 1500)
+    monkeypatch.setattr("readloom.llm.leakage.PIECE_WORDS", 12)  # passages in pieces too
     monkeypatch.setattr("readloom.llm.leakage.SHARD_WORDS", 1000)
     docs, items = leak_case()
     docs.append((300, "filler " * 2995 + items[11][1] + " filler" * 500 + " " + items[12][1]))
@@ -184,6 +186,19 @@ def test_junk_and_held_out_accuracy(spark):
     assert not [r for r in rows if r["v"] == "prose" and r["marks"] >= 2]
 
 
+def test_junk_is_complete_with_rules_of_few_rows(spark):
+    small = "/root/testdata/sf0.01"
+    common = spark.read.parquet(f"{small}/common_words.parquet")
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    stats = text_statistics(docs, common).filter("n_visible > 0")
+    want = {r[0] for r in stats.filter(defects() >= 2).select("doc_id").collect()}
+    assert {r[0] for r in junk(docs, common, labelled=15).collect()} == want
+    # a rule for all rows is refuted, one for none isn't
+    everything, nothing = [RuleTest(0, True, -1.0)], [RuleTest(0, True, 2.0)]
+    assert unrefuted(stats, [everything, nothing], defects() >= 2) == [nothing]
+    assert unrefuted(stats.limit(0), [everything], defects() >= 2) == [everything] and unrefuted(stats, [], defects() >= 2) == []
+
+
 def test_judging_odd_tables(spark):
     common = spark.createDataFrame([("en", "the")], "lang string, word string")
     docs = spark.createDataFrame([(1, None), (2, ""), (3, " \n"), (4, "||| ###"), (5, "The cat saw the dog.")], "doc_id long, text string")
