@@ -17,7 +17,7 @@ from .plans.session import session
 from .plans.shared import cut, spread
 from .sources import sinks, tables
 from .sources.discovery import find_samples, sample_names
-from .sources.fastq import read_fastq
+from .sources.fastq import read_samples
 
 log = logging.getLogger("readloom")
 
@@ -27,7 +27,7 @@ def run_extract(spark: SparkSession, samples: str, fastq_dir: str, outdir: str,
     found = find_samples(sample_names(samples), fastq_dir, mode)
     for s in found.values():
         log.info("[extract] %s (%s): R1=%s R2=%s", s.sample, s.mode, s.r1, s.r2)
-    classified = cut(extract.classify(spread(read_fastq(spark, found)), design))
+    classified = cut(extract.classify(spread(read_samples(spark, found)), design))
     parsed = extract.parsed_rows(classified)
     sinks.write_parsed(parsed, {s.sample: s.mode for s in found.values()}, outdir)
     for r in sinks.write_stats(extract.read_counters(classified), outdir):

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import glob
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..design import Design
@@ -12,12 +13,14 @@ from ..functions.sequences import best_overlap_distance, hamming, levenshtein_wi
 from ..functions.structure import fuzzy_parts
 from ..operators import extract
 from ..sources.discovery import SampleFiles
-from ..sources.fastq import read_fastq
+from ..sources.fastq import read_fastq, read_fastq_split
 from .reads_view import READS_SQL, raw_reads
 from .session import table
 from .shared import cut, shared_dir
 
 _D = Design()
+#: Reads of a compressed FASTQ file, about, and bytes of a range of a plain one, in the scanning queries.
+LANE_READS, SPLIT = 50_000, 8 * 1024 * 1024
 
 
 def quality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,23 +37,47 @@ def zip_join_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.join(second, ["sample", "read_idx"])
 
 
+def _fastq_lines(n: int) -> Column:
+    """The record of read n as four lines."""
+    return F.concat_ws("\n", F.concat(F.lit("@read"), "read_idx", F.lit(f"/{n}")), f"r{n}_seq", F.lit("+"), f"r{n}_qual")
+
+
+def _numbered(reads: DataFrame) -> DataFrame:
+    """Scanned reads with the number that their header holds."""
+    number = F.regexp_extract("r1_header", "@read([0-9]+)/", 1).cast("long").alias("read_idx")
+    return reads.select("sample", number, "r1_seq", "r1_qual", "r2_seq", "r2_qual")
+
+
 def fastq_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw reads written as FASTQ files, one or two per sample, and read by the data source."""
+    """The raw reads written as gzip-compressed FASTQ files, one or two per sample and lane, and read by the data source.
+
+    A lane holds some LANE_READS reads, whatever the size of its sample, since a compressed file takes one task."""
     reads = cut(raw_reads(spark, sf_dir))
-    root = shared_dir(spark).removeprefix("file://")
-    folder = os.path.join(root, f"fastq-{os.urandom(6).hex()}")
+    lanes = max(1, -(-reads.count() // LANE_READS))
+    lane = F.pmod(F.xxhash64("read_idx"), F.lit(lanes)).alias("lane")
+    folder = os.path.join(shared_dir(spark).removeprefix("file://"), f"fastq-{os.urandom(6).hex()}")
     files: dict[str, list[str]] = {}
     for n in (1, 2):
-        lines = F.concat_ws("\n", F.concat(F.lit("@read"), "read_idx", F.lit(f"/{n}")), f"r{n}_seq", F.lit("+"), f"r{n}_qual")
-        own = reads.filter(F.col(f"r{n}_seq").isNotNull()).repartition("sample").sortWithinPartitions("sample", "read_idx")
-        own.select("sample", lines.alias("value")).write.partitionBy("sample").text(f"file://{folder}/r{n}", compression="gzip")
-        for sub in sorted(os.listdir(f"{folder}/r{n}")):
-            if sub.startswith("sample="):
-                part = next(f for f in os.listdir(f"{folder}/r{n}/{sub}") if f.startswith("part-"))
-                files.setdefault(sub.removeprefix("sample="), []).append(f"{folder}/r{n}/{sub}/{part}")
-    found = [SampleFiles(s, *paths) for s, paths in sorted(files.items())]
-    number = F.regexp_extract("r1_header", "@read([0-9]+)/", 1).cast("long").alias("read_idx")
-    return read_fastq(spark, found).select("sample", number, "r1_seq", "r1_qual", "r2_seq", "r2_qual")
+        own = reads.filter(F.col(f"r{n}_seq").isNotNull()).select("sample", lane, "read_idx", _fastq_lines(n).alias("value"))
+        own = own.repartition("sample", "lane").sortWithinPartitions("sample", "lane", "read_idx").drop("read_idx")
+        own.write.partitionBy("sample", "lane").text(f"file://{folder}/r{n}", compression="gzip")
+        for part in glob.glob(f"{folder}/r{n}/sample=*/lane=*/part-*"):
+            files.setdefault(os.path.relpath(os.path.dirname(part), f"{folder}/r{n}"), []).append(part)
+    found = [SampleFiles(key.split("/")[0].removeprefix("sample="), *paths) for key, paths in sorted(files.items())]
+    return _numbered(read_fastq(spark, found))
+
+
+def fastq_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw reads written as plain FASTQ, each sample in sorted part files of many tasks, and read by ranges of bytes."""
+    reads = cut(raw_reads(spark, sf_dir))
+    folder = os.path.join(shared_dir(spark).removeprefix("file://"), f"fastq-{os.urandom(6).hex()}")
+    for n in (1, 2):
+        own = reads.filter(F.col(f"r{n}_seq").isNotNull()).select("sample", "read_idx", _fastq_lines(n).alias("value"))
+        own = own.repartitionByRange("sample", "read_idx").sortWithinPartitions("sample", "read_idx").drop("read_idx")
+        own.write.partitionBy("sample").text(f"file://{folder}/r{n}")
+    paths = {n: {os.path.basename(p).removeprefix("sample="): p for p in glob.glob(f"{folder}/r{n}/sample=*")} for n in (1, 2)}
+    found = [SampleFiles(s, p, paths[2].get(s)) for s, p in sorted(paths[1].items())]
+    return _numbered(read_fastq_split(spark, found, SPLIT))
 
 
 def extract_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,8 +149,8 @@ def counters_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        quality_filter, zip_join_reads, fastq_scan, extract_parsed, extract_status, extract_counters, unmatched_of_reads,
-        fuzzy_primer_extract, sequence_functions, overlap_distance, unmatched_top, counters_check,
+        quality_filter, zip_join_reads, fastq_scan, fastq_split_scan, extract_parsed, extract_status, extract_counters,
+        unmatched_of_reads, fuzzy_primer_extract, sequence_functions, overlap_distance, unmatched_top, counters_check,
     )
 }
 
@@ -151,6 +178,7 @@ ORACLE = {
         WITH reads AS ({READS_SQL}) SELECT sample, read_idx FROM reads WHERE regexp_matches(r1_qual, '^[^\\x00-\\x39]{{61}}')""",
     "zip_join_reads": f"WITH reads AS ({READS_SQL}) SELECT sample, read_idx, r1_seq, r2_seq FROM reads WHERE r2_seq IS NOT NULL",
     "fastq_scan": READS_SQL,
+    "fastq_split_scan": READS_SQL,
     "extract_status": f"{_CLASSIFIED} SELECT sample, read_idx, status FROM c",
     "extract_counters": f"""{_CLASSIFIED}
         SELECT sample, count(*) AS total_reads, count(*) FILTER (status = 'passed') AS passed,

@@ -99,7 +99,8 @@ class FastqSource(DataSource):
 
 
 def read_fastq(spark: SparkSession, found: dict[str, SampleFiles] | list[SampleFiles]) -> DataFrame:
-    """The reads of found samples. Where few large files make few tasks, repartition before the work on reads."""
+    """The reads of found samples. Where few large files make few tasks, repartition before the work on reads. A list may name
+    a sample several times, once for each of its lanes; reads are numbered within a lane then."""
     spark.dataSource.register(FastqSource)
     samples = found.values() if isinstance(found, dict) else found
     return spark.read.format("fastq").option("samples", json.dumps([[s.sample, s.r1, s.r2] for s in samples])).load()
@@ -121,6 +122,22 @@ def _seekable(path: str) -> tuple[io.BufferedIOBase, int]:
     return raw, os.fstat(raw.fileno()).st_size
 
 
+def part_files(path: str) -> list[str]:
+    """The file itself or, of a folder of part files as Spark writes them, these in order of their numbers."""
+    if "://" in path and not path.startswith("file://"):
+        from pyarrow import fs
+
+        system, inner = fs.FileSystem.from_uri(path)
+        if system.get_file_info(inner).type != fs.FileType.Directory:
+            return [path]
+        names = [f.base_name for f in system.get_file_info(fs.FileSelector(inner)) if f.base_name.startswith("part-")]
+    elif os.path.isdir(folder := path.removeprefix("file://")):
+        names = [f for f in os.listdir(folder) if f.startswith("part-")]
+    else:
+        return [path]
+    return [f"{path}/{name}" for name in sorted(names, key=lambda f: (int(f.split("-")[1]), f))]
+
+
 def split_records(path: str, start: int, end: int) -> Iterator[tuple[str, str, str]]:
     """Records that begin in the bytes [start, end) of a plain file.
 
@@ -161,16 +178,19 @@ class _RangeReader(DataSourceReader):
         self.bytes = int(options.get("splitbytes") or SPLIT_BYTES)
 
     def partitions(self) -> list[InputPartition]:
-        """Ranges of bytes of all files."""
+        """Ranges of bytes of all files, numbered throughout those of a sample's read."""
         out = []
         for s in self.samples:
-            for n, path in enumerate((s.r1, s.r2), 1):
-                if path:
+            for n, whole in enumerate((s.r1, s.r2), 1):
+                k = 0
+                for path in part_files(whole) if whole else ():
                     if path.endswith(".gz"):
                         raise ValueError(f"{path} is compressed and can't be split")
                     raw, size = _seekable(path)
                     raw.close()
-                    out += [_Range(s.sample, n, path, k, a, a + self.bytes) for k, a in enumerate(range(0, size, self.bytes))]
+                    for a in range(0, size, self.bytes):
+                        out.append(_Range(s.sample, n, path, k, a, a + self.bytes))
+                        k += 1
         return out
 
     def read(self, p: _Range) -> Iterator[pa.RecordBatch]:
@@ -199,8 +219,8 @@ class FastqSplitSource(DataSource):
 
 
 def read_fastq_split(spark: SparkSession, found: dict[str, SampleFiles] | list[SampleFiles], split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """The same rows as read_fastq(), of plain files of any size: ranges are counted in a first pass, prefix sums number their
-    records, and the second reads join the first ones by sample and number."""
+    """The same rows as read_fastq(), of plain files of any size, or folders of plain part files: ranges are counted in a first
+    pass, prefix sums number their records, and the second reads join the first ones by sample and number."""
     spark.dataSource.register(FastqSplitSource)
     samples = list(found.values() if isinstance(found, dict) else found)
     option = json.dumps([[s.sample, s.r1, s.r2] for s in samples])
@@ -219,3 +239,25 @@ def read_fastq_split(spark: SparkSession, found: dict[str, SampleFiles] | list[S
     alone = part(1).filter(F.col("sample").isin(single))
     whole = paired.withColumn("mode", F.lit("PE")).unionByName(alone.withColumn("mode", F.lit("SE")), allowMissingColumns=True)
     return whole.select(*[c.split()[0] for c in SCHEMA.split(", ")])
+
+
+def read_samples(spark: SparkSession, found: dict[str, SampleFiles], split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """The reads of found samples, by ranges of bytes where all files of a sample are plain and one is larger than a range,
+    else by one task a sample."""
+    def by_ranges(s: SampleFiles) -> bool:
+        paths = [p for p in (s.r1, s.r2) if p]
+        if any(p.endswith(".gz") for p in paths):
+            return False
+        sizes = []
+        for p in paths:
+            raw, size = _seekable(p)
+            raw.close()
+            sizes.append(size)
+        return max(sizes) > split_bytes
+
+    large = [s for s in found.values() if by_ranges(s)]
+    small = [s for s in found.values() if s not in large]
+    if not large:
+        return read_fastq(spark, small)
+    rows = read_fastq_split(spark, large, split_bytes)
+    return rows.unionByName(read_fastq(spark, small)) if small else rows

@@ -9,7 +9,7 @@ import pytest
 
 from readloom.cli import main
 from readloom.sources import discovery
-from readloom.sources.fastq import read_fastq, read_fastq_split, records, split_records
+from readloom.sources.fastq import part_files, read_fastq, read_fastq_split, read_samples, records, split_records
 
 P1, P2 = "GCCACTCGAGCACCTAGGAGG", "AATCAGTCCAGTTATGCTGTGAA"
 DOWN = "GCCACGGCCGCGTCGACCCCACGCCCCTCTTTAATACGACGGGCAATTTGCACTTCAG"
@@ -152,3 +152,31 @@ def test_splits_give_the_same_reads(spark, tmp_path):
     with pytest.raises(Exception, match="compressed"):
         write(str(tmp_path / "z.fq.gz"), reads)
         read_fastq_split(spark, [discovery.SampleFiles("z", str(tmp_path / "z.fq.gz"))]).collect()
+
+
+def test_large_plain_samples_are_split_and_others_are_not(spark, tmp_path):
+    reads = odd_reads(random.Random(4))
+    write(str(tmp_path / "p_R1.fq"), reads)
+    write(str(tmp_path / "p_R2.fq"), [(s[::-1], q[::-1]) for s, q in reads[:11]])
+    write(str(tmp_path / "z_R1.fq.gz"), reads)
+    write(str(tmp_path / "z_R2.fq"), reads)
+    write(str(tmp_path / "s.fastq"), reads[:2])
+    found = discovery.find_samples(["p", "z", "s"], str(tmp_path))
+    want = sorted(map(tuple, read_fastq(spark, found).collect()))
+    for split_bytes in (200, 10**6, 1):
+        assert sorted(map(tuple, read_samples(spark, found, split_bytes).collect())) == want
+    only_plain = {"p": found["p"]}
+    assert sorted(map(tuple, read_samples(spark, only_plain, 100).collect())) == [r for r in want if r[0] == "p"]
+
+
+def test_folders_of_parts_are_one_file(spark, tmp_path):
+    reads = odd_reads(random.Random(5))
+    for n, cuts in ((1, (0, 3, 3, 12)), (2, (0, 7, 12, 12))):  # some parts are empty, pairs aren't parted alike
+        os.mkdir(tmp_path / f"r{n}")
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            write(str(tmp_path / f"r{n}" / f"part-{99999 + k:05d}-x.txt"), reads[a:b])
+        (tmp_path / f"r{n}" / "_SUCCESS").write_text("")
+    assert [os.path.basename(p) for p in part_files(str(tmp_path / "r1"))] == ["part-99999-x.txt", "part-100000-x.txt", "part-100001-x.txt"]
+    rows = read_fastq_split(spark, [discovery.SampleFiles("p", str(tmp_path / "r1"), str(tmp_path / "r2"))], 60).orderBy("read_idx").collect()
+    assert [(r["r1_seq"], r["r1_qual"]) for r in rows] == reads == [(r["r2_seq"], r["r2_qual"]) for r in rows]
+    assert [r["read_idx"] for r in rows] == list(range(1, 13))
