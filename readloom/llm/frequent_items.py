@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 #: Counters per summary: items above a 1/(COUNTERS + 1) share are guaranteed, counts err by at most that share.
 COUNTERS = 1000
-#: Summaries merged in one task of the first merging step.
+#: Summaries merged in one task.
 FAN_IN = 64
+#: Merging steps before the last one: with FAN_IN^3 = 262,144 partitions the last one still gets no more than FAN_IN summaries.
+STEPS = 2
 
 SCHEMA = "field_name string, part long, item_value string, low long, lost long, weight long"
 
@@ -63,13 +65,13 @@ def summarise(batches: Iterator[pa.RecordBatch], counters: int) -> Iterator[pa.R
 
 
 def merge(summaries: pd.DataFrame, counters: int) -> pd.DataFrame:
-    """Adds summaries of one field up and reduces the sum."""
+    """Adds summaries of one field and bundle up and reduces the sum; the bundle's number is the sum's partition."""
     items = summaries[summaries["item_value"].notna()].groupby("item_value", sort=True)["low"].sum()
     values, low, cut = reduce_counters(items.index.to_numpy(object), items.to_numpy(np.int64), counters)
     field, lost, weight = summaries["field_name"].iloc[0], int(summaries["lost"].sum()) + cut, int(summaries["weight"].sum())
     return pd.DataFrame(
         {
-            "field_name": field, "part": 0, "item_value": [*values, None], "low": [*low, 0],
+            "field_name": field, "part": int(summaries["part"].iloc[0]) // FAN_IN, "item_value": [*values, None], "low": [*low, 0],
             "lost": [0] * len(values) + [lost], "weight": [0] * len(values) + [weight],
         }
     )
@@ -81,13 +83,14 @@ def frequent_items(rows: DataFrame, counters: int = COUNTERS) -> DataFrame:
     occurrences is there.
 
     Null items and fields are ignored, repeated rows count again, empty items are items like others; an empty table or a
-    field of nulls gives no row. Memory in any task is bounded by `counters` (and, when merging, FAN_IN summaries, or a
-    FAN_IN-th of all in the last step), however many distinct items there are.
+    field of nulls gives no row. Memory in any task is bounded by `counters` and a batch (when merging, FAN_IN summaries),
+    however many distinct items and partitions there are.
     """
     tagged = rows.select("field_name", "item_value", F.spark_partition_id().cast("long").alias("part")).dropna()
-    parts = tagged.mapInArrow(lambda batches: summarise(batches, counters), SCHEMA)
-    some = parts.withColumn("bundle", F.floor(F.col("part") / FAN_IN)).groupBy("field_name", "bundle")
-    some = some.applyInPandas(lambda p: merge(p, counters), SCHEMA)
+    some = tagged.mapInArrow(lambda batches: summarise(batches, counters), SCHEMA)
+    for _ in range(STEPS):
+        bundles = some.groupBy("field_name", F.floor(F.col("part") / FAN_IN).alias("bundle"))
+        some = bundles.applyInPandas(lambda p: merge(p, counters), SCHEMA)
     whole = some.groupBy("field_name").applyInPandas(lambda p: merge(p, counters), SCHEMA)
     # the totals join their field's items; at most one row per field
     totals = F.max_by(F.struct("lost", "weight"), F.col("item_value").isNull())
