@@ -1,7 +1,7 @@
 """The files that other tools expect. Parquet is the canonical form; these are exports.
 
-Tables that grow with the reads are written by Spark, one file per sample or one sorted file; only tables of a row per sample
-go through the driver.
+Tables that grow with the reads are written by Spark, one file per sample or one sorted file: parts in parallel, which tasks
+put together, a task a file. Only tables of a row per sample go through the driver.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import os
 import shutil
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import PARSED, PARSED_SE
@@ -24,14 +24,26 @@ def fixed(value: str | Column, places: int) -> Column:
 
 
 def _join(folder: str, target: str, names: list[str], sep: str) -> None:
-    """Puts Spark's sorted part files (of a shared file system) behind a header into one file, as streams of bytes."""
+    """Puts Spark's sorted part files (of a shared file system) behind a header into one file, as streams of bytes. The file
+    appears once it is whole, so the task can be repeated."""
     parts = glob.glob(os.path.join(folder, "part-*"))
-    with open(target, "w", newline="") as f:
+    tmp = f"{target}.{uuid.uuid4().hex}"
+    with open(tmp, "w", newline="") as f:
         csv.writer(f, delimiter=sep, lineterminator="\n").writerow(names)
-    with open(target, "ab") as out:
+    with open(tmp, "ab") as out:
         for part in sorted(parts, key=lambda p: (int(os.path.basename(p).split("-")[1]), p)):
             with open(part, "rb") as own:
                 shutil.copyfileobj(own, out, 1 << 20)
+    os.replace(tmp, target)
+
+
+def _join_all(spark: SparkSession, files: list[tuple[str, str]], names: list[str], sep: str) -> None:
+    """_join() of each (folder, target), in tasks."""
+    if files:
+        whole = [tuple(map(os.path.abspath, f)) for f in files]  # tasks may have another working folder
+        tasks = min(len(files), 2 * spark.sparkContext.defaultParallelism)
+        rows = spark.createDataFrame(whole, "folder string, target string").repartition(tasks)
+        rows.foreach(lambda r: _join(r["folder"], r["target"], names, sep))
 
 
 def _options(sep: str) -> dict:
@@ -42,7 +54,7 @@ def one_file(df: DataFrame, target: str, order: list, shown: list[str]) -> None:
     """One sorted CSV file. Spark sorts and formats in parallel."""
     tmp = f"{target}.{uuid.uuid4().hex}"
     df.orderBy(*order).select(*[F.col(f"`{c}`") for c in shown]).write.csv(tmp, **_options(","))
-    _join(tmp, target, shown, ",")
+    _join_all(df.sparkSession, [(tmp, target)], shown, ",")
     shutil.rmtree(tmp)
 
 
@@ -54,8 +66,8 @@ def per_sample(df: DataFrame, samples: list[str], folder: str, ending: str, sep:
     keep = [c for c in df.columns if c != "_o" and (c != "sample" or with_sample)]
     ranges = df.withColumn("_s", F.col("sample")).repartitionByRange("_s", "_o").sortWithinPartitions("_s", "_o")
     ranges.select(*keep, "_s").write.partitionBy("_s").csv(tmp, **_options(sep))
-    for sample in samples:
-        _join(os.path.join(tmp, f"_s={_escaped(sample)}"), os.path.join(folder, sample + ending), keep, sep)
+    files = [(os.path.join(tmp, f"_s={_escaped(sample)}"), os.path.join(folder, sample + ending)) for sample in samples]
+    _join_all(df.sparkSession, files, keep, sep)
     shutil.rmtree(tmp)
 
 
