@@ -64,33 +64,33 @@ def summarise(batches: Iterator[pa.RecordBatch], counters: int) -> Iterator[pa.R
         )
 
 
-def merge(summaries: pd.DataFrame, counters: int) -> pd.DataFrame:
+def merge(summaries: pd.DataFrame, counters: int, fan_in: int = FAN_IN) -> pd.DataFrame:
     """Adds summaries of one field and bundle up and reduces the sum; the bundle's number is the sum's partition."""
     items = summaries[summaries["item_value"].notna()].groupby("item_value", sort=True)["low"].sum()
     values, low, cut = reduce_counters(items.index.to_numpy(object), items.to_numpy(np.int64), counters)
     field, lost, weight = summaries["field_name"].iloc[0], int(summaries["lost"].sum()) + cut, int(summaries["weight"].sum())
     return pd.DataFrame(
         {
-            "field_name": field, "part": int(summaries["part"].iloc[0]) // FAN_IN, "item_value": [*values, None], "low": [*low, 0],
+            "field_name": field, "part": int(summaries["part"].iloc[0]) // fan_in, "item_value": [*values, None], "low": [*low, 0],
             "lost": [0] * len(values) + [lost], "weight": [0] * len(values) + [weight],
         }
     )
 
 
-def frequent_items(rows: DataFrame, counters: int = COUNTERS) -> DataFrame:
+def frequent_items(rows: DataFrame, counters: int = COUNTERS, fan_in: int = FAN_IN) -> DataFrame:
     """Summary of rows (`field_name`, `item_value`): per field at most `counters` items with `low` <= true count <=
     `low + lost`, and `weight`, the number of non-null values. Every item with more than weight / (counters + 1)
     occurrences is there.
 
     Null items and fields are ignored, repeated rows count again, empty items are items like others; an empty table or a
-    field of nulls gives no row. Memory in any task is bounded by `counters` and a batch (when merging, FAN_IN summaries),
+    field of nulls gives no row. Memory in any task is bounded by `counters` and a batch (when merging, `fan_in` summaries),
     however many distinct items and partitions there are.
     """
     tagged = rows.select("field_name", "item_value", F.spark_partition_id().cast("long").alias("part")).dropna()
     some = tagged.mapInArrow(lambda batches: summarise(batches, counters), SCHEMA)
     for _ in range(STEPS):
-        bundles = some.groupBy("field_name", F.floor(F.col("part") / FAN_IN).alias("bundle"))
-        some = bundles.applyInPandas(lambda p: merge(p, counters), SCHEMA)
+        bundles = some.groupBy("field_name", F.floor(F.col("part") / fan_in).alias("bundle"))
+        some = bundles.applyInPandas(lambda p: merge(p, counters, fan_in), SCHEMA)
     whole = some.groupBy("field_name").applyInPandas(lambda p: merge(p, counters), SCHEMA)
     # the totals join their field's items; at most one row per field
     totals = F.max_by(F.struct("lost", "weight"), F.col("item_value").isNull())

@@ -101,12 +101,13 @@ def test_merged_summaries_keep_their_guarantee(parts, counters):
         assert low.get(v, 0) <= n <= low.get(v, 0) + lost
 
 
+@pytest.mark.parametrize("fan_in", [2, 64])
 @pytest.mark.parametrize("counters", [3, 20, 1000])
-def test_frequent_items(spark, counters):
+def test_frequent_items(spark, counters, fan_in):
     rng = random.Random(2)
     rows = [("x", f"v{int(rng.paretovariate(0.7))}", "c", 1) for _ in range(4000)] + [("y", "", "c", 1)] * 3 + [("z", None, "c", 1), (None, "q", "c", 1)]
     df = spark.createDataFrame(rows, "field_name string, item_value string, part string, low int").repartition(7)
-    got = frequent_items(df, counters).collect()
+    got = frequent_items(df, counters, fan_in).collect()
     true = Counter(r[1] for r in rows if r[0] == "x")
     mine = {r["item_value"]: r for r in got if r["field_name"] == "x"}
     assert len(mine) <= counters and {r["field_name"] for r in got} <= {"x", "y"}
