@@ -20,7 +20,7 @@ from .shared import cut, shared_dir
 
 _D = Design()
 #: Reads of a compressed FASTQ file, about, and bytes of a range of a plain one, in the scanning queries.
-LANE_READS, SPLIT = 50_000, 8 * 1024 * 1024
+LANE_READS, SPLIT = 200_000, 32 * 1024 * 1024
 
 
 def quality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
