@@ -46,8 +46,8 @@ def set_size(hashes: np.ndarray, k: int) -> float:
     return float(len(hashes)) if len(hashes) < k else (k - 1) / float(_unit(hashes[k - 1]))
 
 
-def pair_overlap(a: np.ndarray, b: np.ndarray, k: int) -> tuple[float, float, float]:
-    """Estimated union, shared items and the latter's standard error, of two ascending sketches."""
+def pair_overlap(a: np.ndarray, b: np.ndarray, k: int) -> tuple[float, float, float, int]:
+    """Estimated union, shared items and the latter's standard error, of two ascending sketches, and of how many hashes."""
     both = np.union1d(a, b)
     full = len(both) >= k and (len(a) >= k or len(b) >= k)
     low = both[:k] if full else both
@@ -55,10 +55,12 @@ def pair_overlap(a: np.ndarray, b: np.ndarray, k: int) -> tuple[float, float, fl
     union = (len(low) - 1) / float(_unit(low[-1])) if full else float(len(low))
     share = len(common) / max(1, len(low))
     spread = np.sqrt(max(share, 1 / len(low)) * (1 - min(share, 1 - 1 / max(2, len(low)))) / len(low)) if full else 0.0
-    return union, union * share, union * float(spread)
+    return union, union * share, union * float(spread), len(low)
 
 
-PAIRS = "set_a string, set_b string, size_a double, size_b double, union_size double, shared double, shared_error double"
+PAIRS = (
+    "set_a string, set_b string, size_a double, size_b double, union_size double, shared double, shared_error double, n_hashes long"
+)
 
 
 def _pairs_of_blocks(group: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -77,7 +79,7 @@ def _pairs_of_blocks(group: pd.DataFrame, k: int) -> pd.DataFrame:
 
 def estimated_overlaps(sets: DataFrame, k: int = K) -> DataFrame:
     """For each pair of sets (`set_a` < `set_b` in byte order) the estimated sizes, union and shared items with its
-    standard error. The sketches, of at most k hashes, are paired in blocks; no set's items are joined."""
+    standard error, and the hashes they rest on (`n_hashes`). The sketches, of at most k hashes, are paired in blocks; no set's items are joined."""
     all_sketches = sketches(sets, k)
     n_blocks = max(1, -(-sets.select("set_id").distinct().count() // BLOCK))
     others = F.sequence(F.lit(0), F.lit(n_blocks - 1))
@@ -90,6 +92,14 @@ def estimated_overlaps(sets: DataFrame, k: int = K) -> DataFrame:
     return paired.groupBy("x", "y").applyInPandas(lambda g: _pairs_of_blocks(g, k), PAIRS)
 
 
+def may_share(part: float) -> Column:
+    """Whether a pair's estimate allows that it shares `part` of its smaller set, with five standard errors (and three of
+    the sizes'). The error is that of a pair which shares just so much: the estimate's own shrinks where chance leaves few
+    common hashes, so pairs of very unequal sets, of which few are expected, would be lost."""
+    least = F.least(F.lit(1.0), F.lit(part * 0.95) * F.least("size_a", "size_b") / F.col("union_size"))
+    return F.col("shared") / F.col("union_size") >= least - 5 * F.sqrt(least * (1 - least) / F.col("n_hashes"))
+
+
 def exact_overlaps(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """Adds the exact `n_a`, `n_b` and `n_shared` to given pairs (`set_a`, `set_b`); only their sets' items are joined."""
     pairs = cut(pairs)

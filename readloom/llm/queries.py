@@ -15,7 +15,7 @@ from .frequent_items import frequent_items
 from .leakage import leaked_spans, leaks
 from .near_duplicates import similar_pairs
 from .oracle import ORACLE  # noqa: F401
-from .overlaps import estimated_overlaps, exact_overlaps, sets_of
+from .overlaps import estimated_overlaps, exact_overlaps, may_share, sets_of
 from .quality import judged, junk
 from .term_frequencies import mark, term_frequencies
 from .tokenizing import token_ids
@@ -120,12 +120,10 @@ def p4_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs that share at least 0.3 of the smaller sample's barcodes: pairs whose estimate, with five standard errors
-    (and three of the sizes'), allows it, counted exactly."""
+    """Pairs that share at least 0.3 of the smaller sample's barcodes: pairs whose estimate allows it, with five standard
+    errors of such a pair, counted exactly."""
     sets = _memberships(spark, sf_dir)
-    near = estimated_overlaps(sets).filter(
-        F.col("shared") + 5 * F.col("shared_error") >= 0.3 * 0.95 * F.least("size_a", "size_b")
-    )
+    near = estimated_overlaps(sets).filter(may_share(0.3))
     exact = exact_overlaps(sets, near.select("set_a", "set_b"))
     return exact.filter(F.col("n_shared") * 10 >= 3 * F.least("n_a", "n_b")).select(
         F.col("set_a").alias("sample_a"), F.col("set_b").alias("sample_b")

@@ -158,6 +158,17 @@ def test_overlaps_of_small_sets_are_exact(spark):
     assert [tuple(r) for r in sets_of(cells, F.col("s"), F.col("b"), F.col("n") > 0).collect()] == [("s", "d")]
 
 
+def test_pairs_of_very_unequal_samples_are_found(spark, tmp_path):
+    """Each small sample has exactly 0.3 of its barcodes in one 190 times as large: few common hashes, or none, are expected."""
+    rng = np.random.default_rng(3)
+    rows = [("large", f"B{i}", 1) for i in range(19_000)]
+    for s in range(250):
+        rows += [(f"s{s:03}", f"B{i}", 1) for i in rng.choice(19_000, 30, replace=False)] + [(f"s{s:03}", f"O{s}X{i}", 1) for i in range(70)]
+    spark.createDataFrame(rows, "sample_name string, barcode string, total_count long").write.parquet(str(tmp_path / "barcode_x_sample_counts.parquet"))
+    got = {tuple(r) for r in QUERIES["p4_found"](spark, str(tmp_path)).collect()}
+    assert got == {("large", f"s{s:03}") for s in range(250)}
+
+
 def test_estimates_meet_the_stated_error():
     rng = np.random.default_rng(1)
     for n in (0, 1, 5, 100, 3000, 50_000, 400_000):
