@@ -2,38 +2,97 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.shared import cut
 
 #: Hashes kept per set: the union's size has a standard error of 1/sqrt(K), 1.6 %.
 K = 4096
-#: Input partitions whose hashes of a set are merged in one task before those of all are.
-BUNDLE = 256
+#: Hashes that a task gathers before it reduces them, and those that it holds at most after.
+GATHERED, HELD = 1 << 19, 1 << 22
+#: Partitions whose sketches of a set are merged in one step.
+FAN_IN = 64
 #: Sketches in a block: one task of the pairing holds two blocks.
 BLOCK = 64
 
-
-def sketches(sets: DataFrame, k: int = K) -> DataFrame:
+SKETCHES = "set_id string, part long, hashes array<long>"
+
+
+def lowest(batches: Iterator[pa.RecordBatch], k: int, most: int = HELD, gathered: int = GATHERED) -> Iterator[pa.RecordBatch]:
+    """The k smallest distinct hashes of each set of a partition of rows (`set_id`, `h`, `part`). Hashes are gathered and
+    reduced when as many are new as are held. More than `most` leave at once, so a set may come in several sketches."""
+    codes: dict[str, int] = {}
+    held, new, n_new, part = np.zeros((2, 0), np.int64), [], 0, 0
+    bound = np.zeros(0, np.int64)  # by set: what a hash must not exceed
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = batch.column(2)[0].as_py()
+        own = batch.column(0).dictionary_encode()
+        names = np.array([codes.setdefault(s, len(codes)) for s in own.dictionary.to_pylist()], np.int64)
+        bound = np.append(bound, np.full(len(codes) - len(bound), np.iinfo(np.int64).max))
+        code, h = names[own.indices.to_numpy()], batch.column(1).to_numpy()
+        low = h <= bound[code]
+        new.append(np.stack([code[low], h[low]]))
+        n_new += int(low.sum())
+        if n_new >= max(gathered, held.shape[1]):
+            held, bound = _reduced(np.concatenate([held, *new], axis=1), len(codes), k)
+            new, n_new = [], 0
+            if held.shape[1] > most:
+                yield from _rows(held, list(codes), part)
+                codes, held, bound = {}, held[:, :0], bound[:0]
+    if codes:
+        yield from _rows(_reduced(np.concatenate([held, *new], axis=1), len(codes), k)[0], list(codes), part)
+
+
+def _reduced(rows: np.ndarray, n_sets: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of codes and hashes the k smallest distinct hashes per code, in order; by code the k-th, if there are so many."""
+    rows = rows[:, np.lexsort((rows[1], rows[0]))]
+    rows = rows[:, np.append(True, (rows[:, 1:] != rows[:, :-1]).any(axis=0))[: rows.shape[1]]]
+    place = np.arange(rows.shape[1]) - np.searchsorted(rows[0], np.arange(n_sets))[rows[0]]
+    bound = np.full(n_sets, np.iinfo(np.int64).max)
+    bound[rows[0][place == k - 1]] = rows[1][place == k - 1]
+    return rows[:, place < k], bound
+
+
+def _rows(held: np.ndarray, names: list[str], part: int) -> Iterator[pa.RecordBatch]:
+    """Held hashes as sketches, a bounded number of them in a batch."""
+    ends = np.searchsorted(held[0], np.arange(len(names) + 1))
+    for i in range(0, len(names), BLOCK):
+        own = names[i : i + BLOCK]
+        cuts = ends[i : i + len(own) + 1]
+        hashes = pa.ListArray.from_arrays(pa.array(cuts - cuts[0], pa.int32()), pa.array(held[1, cuts[0] : cuts[-1]]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(own, pa.string()), pa.array([part] * len(own), pa.int64()), hashes], ["set_id", "part", "hashes"]
+        )
+
+
+def _merged(group: pd.DataFrame, k: int, fan_in: int) -> pd.DataFrame:
+    """One sketch of a set's sketches in a bundle; the bundle's number is its partition."""
+    hashes = np.unique(np.concatenate(group["hashes"].to_list()))[:k]
+    return pd.DataFrame({"set_id": [group["set_id"].iloc[0]], "part": [int(group["part"].iloc[0]) // fan_in], "hashes": [hashes]})
+
+
+def sketches(sets: DataFrame, k: int = K, fan_in: int = FAN_IN) -> DataFrame:
     """Per `set_id` the k smallest distinct hashes of its `item`s, ascending, as `hashes`.
 
-    Each input partition keeps only its k smallest hashes of a set (Spark's partial rank limit) before the shuffle, and
-    sketches of parts of a set merge into the set's by taking the k smallest again. Null ids and items are ignored,
-    repeated rows count once, an empty table gives no row, extra columns are not read.
+    Each input partition keeps only its k smallest hashes of a set before the shuffle. Sketches of parts of a set merge into
+    the set's by taking the k smallest again, in steps, so that no task holds more than those of `fan_in` partitions of a set.
+    Null ids and items are ignored, repeated rows count once, an empty table gives no row, extra columns are not read.
     """
-    hashed = sets.select("set_id", F.xxhash64("item").alias("h"), F.col("item").isNotNull().alias("ok"))
-    hashed = hashed.filter(F.col("ok") & F.col("set_id").isNotNull()).select("set_id", "h")
-    lowest = hashed
-    if sets.rdd.getNumPartitions() > BUNDLE:  # so that no task gets a large set's hashes of all partitions
-        bundled = hashed.withColumn("bundle", F.floor(F.spark_partition_id() / BUNDLE))
-        rank = F.dense_rank().over(Window.partitionBy("set_id", "bundle").orderBy("h"))
-        lowest = bundled.withColumn("r", rank).filter(F.col("r") <= k).select("set_id", "h")
-    rank = F.dense_rank().over(Window.partitionBy("set_id").orderBy("h"))
-    lowest = lowest.withColumn("r", rank).filter(F.col("r") <= k)
-    return lowest.groupBy("set_id").agg(F.sort_array(F.collect_set("h")).alias("hashes"))  # at most k each
+    known = sets.filter(F.col("item").isNotNull() & F.col("set_id").isNotNull())
+    hashed = known.select("set_id", F.xxhash64("item").alias("h"), F.spark_partition_id().cast("long").alias("part"))
+    some, left = hashed.mapInArrow(lambda batches: lowest(batches, k), SKETCHES), sets.rdd.getNumPartitions()
+    while left > fan_in:
+        bundles = some.groupBy("set_id", F.floor(F.col("part") / fan_in).alias("bundle"))
+        some, left = bundles.applyInPandas(lambda g: _merged(g, k, fan_in), SKETCHES), -(-left // fan_in)
+    return some.groupBy("set_id").applyInPandas(lambda g: _merged(g, k, fan_in), SKETCHES).select("set_id", "hashes")
 
 
 def _unit(h: np.ndarray | int) -> np.ndarray | float:

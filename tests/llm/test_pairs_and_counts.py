@@ -1,10 +1,11 @@
 """Near-duplicates, frequent items, term frequencies, overlaps and distinct counts against brute force."""
 
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from readloom.llm.distinct_counts import ERROR, RANKS, ROWS, estimate, matrices, merged_counts
 from readloom.llm.frequent_items import frequent_items, reduce_counters
 from readloom.llm.near_duplicates import shift_tuples, similar_pairs
-from readloom.llm.overlaps import estimated_overlaps, exact_overlaps, pair_overlap, sets_of, sketches
+from readloom.llm.overlaps import estimated_overlaps, exact_overlaps, lowest, pair_overlap, sets_of, sketches
 from readloom.llm.queries import QUERIES
 from readloom.llm.term_frequencies import mark, term_frequencies
 
@@ -158,6 +159,38 @@ def test_overlaps_of_small_sets_are_exact(spark):
     assert [tuple(r) for r in sets_of(cells, F.col("s"), F.col("b"), F.col("n") > 0).collect()] == [("s", "d")]
 
 
+def test_sketches_are_cut_before_the_shuffle(spark):
+    """With k above Spark's limit of 1,000 for partial ranks; sets above and below k, repeated, in steps of merging."""
+    sets = spark.range(0, 60_000, 1, 10).select(F.when(F.col("id") % 20 == 0, "few").otherwise("many").alias("set_id"), F.concat(F.lit("i"), F.col("id") % 30_000).alias("item"))
+    hashes = sets.select("set_id", F.xxhash64("item").alias("h")).distinct().toPandas()
+    want = {s: sorted(own["h"])[:4096] for s, own in hashes.groupby("set_id")}
+    assert {s: len(own) for s, own in want.items()} == {"few": 1500, "many": 4096}
+    for fan_in in (2, 64):
+        assert {r["set_id"]: r["hashes"] for r in sketches(sets, 4096, fan_in).collect()} == want
+    plan = sketches(sets)._jdf.queryExecution().executedPlan().toString()
+    before = plan[plan.rindex("Exchange") :]  # what feeds the first shuffle
+    assert "MapInArrow" in before and "Window" not in plan
+
+
+def test_a_partition_holds_bounded_hashes():
+    rng = np.random.default_rng(6)
+    rows = [(f"s{i % 7}", int(h)) for i, h in enumerate(rng.integers(-(2**63), 2**63 - 1, 40_000))] * 2
+    rng.shuffle(rows)
+    batches = [
+        pa.RecordBatch.from_pydict({"set_id": [s for s, _ in own], "h": [int(h) for _, h in own], "part": [3] * len(own)})
+        for own in (rows[i : i + 1000] for i in range(0, len(rows), 1000))
+    ]
+    want = {f"s{i}": sorted({int(h) for s, h in rows if s == f"s{i}"})[:1500] for i in range(7)}
+    for gathered, most in ((500, 1 << 22), (500, 4000), (1 << 19, 1 << 22)):
+        got = defaultdict(set)
+        for out in lowest(iter(batches), 1500, most, gathered):
+            for r in out.to_pylist():
+                assert r["part"] == 3 and r["hashes"] == sorted(set(r["hashes"])) and len(r["hashes"]) <= 1500
+                got[r["set_id"]] |= set(r["hashes"])
+        assert {s: sorted(h)[:1500] for s, h in got.items()} == want
+    assert list(lowest(iter([]), 5)) == []
+
+
 def test_pairs_of_very_unequal_samples_are_found(spark, tmp_path):
     """Each small sample has exactly 0.3 of its barcodes in one 190 times as large: few common hashes, or none, are expected."""
     rng = np.random.default_rng(3)
