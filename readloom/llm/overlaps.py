@@ -160,21 +160,22 @@ def may_share(part: float) -> Column:
 
 
 def exact_overlaps(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Adds the exact `n_a`, `n_b` and `n_shared` to given pairs (`set_a`, `set_b`); only their sets' items are joined."""
+    """Adds the exact `n_a`, `n_b` and `n_shared` to given pairs (`set_a`, `set_b`); only their sets' items are joined. The
+    items of a pair's smaller set are looked up in the larger one, so a large set isn't repeated for each small partner."""
     pairs = cut(pairs)
     named = pairs.select(F.col("set_a").alias("set_id")).union(pairs.select("set_b")).distinct()
     items = sets.select("set_id", "item").dropna().join(named, "set_id", "left_semi").distinct()
-    sizes = items.groupBy("set_id").agg(F.count(F.lit(1)).alias("n"))
-    first = pairs.join(items.withColumnRenamed("set_id", "set_a"), "set_a")
-    shared = (
-        first.join(items.withColumnRenamed("set_id", "set_b"), ["set_b", "item"])
-        .groupBy("set_a", "set_b").agg(F.count(F.lit(1)).alias("n_shared"))
-    )
-    return (
-        shared.join(sizes.select(F.col("set_id").alias("set_a"), F.col("n").alias("n_a")), "set_a")
-        .join(sizes.select(F.col("set_id").alias("set_b"), F.col("n").alias("n_b")), "set_b")
-        .select("set_a", "set_b", "n_a", "n_b", "n_shared")
+    sizes = cut(items.groupBy("set_id").agg(F.count(F.lit(1)).alias("n")))
+    sized = pairs.join(sizes.select(F.col("set_id").alias("set_a"), F.col("n").alias("n_a")), "set_a").join(
+        sizes.select(F.col("set_id").alias("set_b"), F.col("n").alias("n_b")), "set_b"
     )
+    a_first = F.col("n_a") <= F.col("n_b")
+    small, large = F.when(a_first, F.col("set_a")).otherwise(F.col("set_b")), F.when(a_first, F.col("set_b")).otherwise(F.col("set_a"))
+    first = sized.withColumns({"small": small, "large": large}).join(items.withColumnRenamed("set_id", "small"), "small")
+    return (
+        first.join(items.withColumnRenamed("set_id", "large"), ["large", "item"])
+        .groupBy("set_a", "set_b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("n_shared"))
+    )
 
 
 def sets_of(df: DataFrame, set_id: Column, item: Column, where: Column) -> DataFrame:

@@ -191,6 +191,24 @@ def test_a_partition_holds_bounded_hashes():
     assert list(lowest(iter([]), 5)) == []
 
 
+def _most_rows(plan):
+    """The most rows that any join of a plan that ran gave out."""
+    inner = "executedPlan" if plan.nodeName() == "AdaptiveSparkPlan" else "plan" if plan.nodeName().endswith("QueryStage") else None
+    below = [getattr(plan, inner)()] if inner else [plan.children().apply(i) for i in range(plan.children().size())]
+    own = plan.metrics().apply("numOutputRows").value() if plan.nodeName().endswith("Join") else 0
+    return max([own, *map(_most_rows, below)])
+
+
+def test_a_large_set_is_not_repeated_for_small_partners(spark):
+    rows = [("a", f"i{v}") for v in range(5000)] + [(f"b{s:02}", f"i{v}") for s in range(40) for v in range(4990 + s % 5, 5005)]
+    df = spark.createDataFrame(rows + rows[:9], "set_id string, item string")
+    exact = exact_overlaps(df, spark.createDataFrame([("a", f"b{s:02}") for s in range(40)] + [("b00", "b04")], "set_a string, set_b string"))
+    want = {("a", f"b{s:02}", 5000, 15 - s % 5, 10 - s % 5) for s in range(40)} | {("b00", "b04", 15, 11, 11)}
+    assert {tuple(r) for r in exact.select("set_a", "set_b", "n_a", "n_b", "n_shared").collect()} == want
+    exact.collect()
+    assert 0 < _most_rows(exact._jdf.queryExecution().executedPlan()) <= len(rows) + 9  # 200,000 if it were
+
+
 def test_pairs_of_very_unequal_samples_are_found(spark, tmp_path):
     """Each small sample has exactly 0.3 of its barcodes in one 190 times as large: few common hashes, or none, are expected."""
     rng = np.random.default_rng(3)
