@@ -62,11 +62,19 @@ def merge_edges(counts: DataFrame, design: Design = Design()) -> DataFrame:
 
 
 def merge_rounds(design: Design) -> int | None:
-    """Rounds after which all barcodes are settled; None if only the data tell (a ratio of 1 or more)."""
-    ratio = design.cluster_merge_ratio
-    if ratio <= 0 or design.cluster_protect_count <= 1:
-        return 0
-    return int(math.log(max(1, design.cluster_protect_count - 1)) / math.log(1 / ratio)) + 1 if ratio < 1 else None
+    """Rounds after which all barcodes are settled, the children in the longest chain of counts; None if only the data tell
+    (a ratio of 1 or more). Counts are compared as in `merge_edges`, not by logarithms, which round."""
+    ratio, count, rounds = float(design.cluster_merge_ratio), 1, 0
+    if ratio >= 1:
+        return None if design.cluster_protect_count > 1 else 0
+    while ratio > 0 and count < design.cluster_protect_count:
+        parent = max(count, math.floor(count / ratio) - 1)
+        while count > ratio * parent:
+            parent += 1
+        if parent == count:  # the ratio is so near 1 that the product rounds up
+            return None
+        count, rounds = parent, rounds + 1
+    return rounds
 
 
 def assignments(counts: DataFrame, design: Design = Design()) -> DataFrame:
@@ -105,10 +113,11 @@ def assignments(counts: DataFrame, design: Design = Design()) -> DataFrame:
 
 
 def corrected_counts(counts: DataFrame, design: Design = Design()) -> DataFrame:
-    """Reads per sample and representative, and their share of the sample."""
+    """Reads per sample and representative, and their share of the sample. A barcode without one is an error."""
+    rep = F.coalesce("rep", F.raise_error(F.lit("a barcode has no representative")).cast("string"))
     merged = (
-        counts.join(assignments(counts, design), ["sample", "barcode"])
-        .groupBy("sample", F.col("rep").alias("corrected_barcode"))
+        counts.join(assignments(counts, design), ["sample", "barcode"], "left")
+        .groupBy("sample", rep.alias("corrected_barcode"))
         .agg(F.sum("cnt").alias("total_count"))
     )
     totals = counts.groupBy("sample").agg(F.sum("cnt").alias("_all"))  # a row per sample

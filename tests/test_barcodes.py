@@ -77,6 +77,22 @@ def test_a_variant_merges(spark):
     assert [r["place"] for r in cluster.ranked(got).orderBy("place").collect()] == [1, 2]
 
 
+@pytest.mark.parametrize("ratio, protect, rounds", [(0.1, 25, 2), (0.1, 1001, 4), (1 / 3, 244, 6), (0.5, 2, 1), (0.99, 25, 24), (0.1, 1, 0), (0, 25, 0), (1, 25, None)])
+def test_merge_rounds(ratio, protect, rounds):
+    assert cluster.merge_rounds(Design(cluster_merge_ratio=ratio, cluster_protect_count=protect)) == rounds
+
+
+def test_a_chain_of_powers_keeps_all_reads(spark):
+    design = Design(cluster_merge_ratio=0.1, cluster_protect_count=1001)
+    root = "AAAAAACCCCCCGATTTTTTCGGGGG"
+    names = [root[: 13 + i] + "A" * (i > 0) + root[13 + i + (i > 0) :] for i in (0, 1, 2, 3, 4)]
+    counts = dict(zip(names, (10_000, 1000, 100, 10, 1)))
+    df = spark.createDataFrame([("A", b, c) for b, c in counts.items()], "sample string, barcode string, cnt long")
+    assert {r["barcode"]: r["rep"] for r in cluster.assignments(df, design).collect()} == one_by_one(counts, design)
+    corrected = cluster.corrected_counts(df, design).collect()
+    assert sum(r["total_count"] for r in corrected) == 11_111
+
+
 def test_counts_and_umi_groups(spark):
     rows = [("A", i, u, b) for i, (u, b) in enumerate([("AAAAAAAATT", "x"), ("aaaaaaaagg", "x"), ("AAAAAAAC", "x"), ("CCCCCCCC", "x"), (None, "x"), ("ACG", "y"), ("ACT", "y"), ("A", None)])]
     df = spark.createDataFrame(rows, "sample string, read_idx long, combined_umi string, barcode string")
