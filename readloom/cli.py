@@ -61,14 +61,16 @@ def run_cluster(parsed: DataFrame, samples: list[str], outdir: str, design: Desi
 
 
 def run_map(cells: DataFrame, outdir: str, min_count: int, fraction: float, relative_to: str, plot: bool) -> None:
-    """Writes the two matrices, the overlap summary and the histograms."""
+    """Writes the two matrices, the overlap summary and the histograms. The cutoff is each file's own; files of one sample
+    are added up after it, and the sample's histogram is that of its last file."""
+    keys = ("sample", "file")
     os.makedirs(outdir, exist_ok=True)
-    usable = overlap.usable_counts(cells, min_count)
-    judged = cut(overlap.relative_abundance(usable, fraction, relative_to))
+    usable = overlap.usable_counts(cells, min_count, keys)
+    judged = cut(overlap.relative_abundance(usable, fraction, relative_to, keys))
     if fraction > 0:
-        for r in overlap.map_log(judged).collect():
+        for r in overlap.map_log(judged, keys).collect():
             log.info("[map] %s: dropped %d of %d below %g x %s", r["sample"], r["n_dropped"], r["n_total"], fraction, relative_to)
-    kept = overlap.surviving(judged)
+    kept = overlap.surviving(judged).groupBy("sample", "barcode").agg(F.sum("cnt").alias("cnt"))
     summary = overlap.overlap_summary(kept)
     place = cells.groupBy("barcode").agg(F.min("position").alias("position"))
     kept_with = overlap.with_frequency(kept)
@@ -82,7 +84,8 @@ def run_map(cells: DataFrame, outdir: str, min_count: int, fraction: float, rela
     _ordered_file(freqs, place, os.path.join(outdir, "barcode_x_sample_freq.csv"), ["barcode", *names])
     _ordered_file(summary, place, os.path.join(outdir, "barcode_overlap_summary.csv"), ["barcode", "n_samples", "samples", "total_count"])
     log.info("[map] %d distinct barcodes across %d samples", summary.count(), len(names))
-    if plot and not sinks.write_histograms(overlap.histogram(judged), os.path.join(outdir, "plots")):
+    last = judged.groupBy("sample").agg(F.max("file").alias("file"))
+    if plot and not sinks.write_histograms(overlap.histogram(judged.join(last, list(keys))), os.path.join(outdir, "plots")):
         log.warning("[map] matplotlib isn't installed; no plots")
 
 
@@ -156,7 +159,7 @@ def main(argv: list[str] | None = None) -> int:
             rows = run_filter(spark, rows, args.index_map, at("2_filtered"), design)
         corrected = run_cluster(rows, names, at("3_clustered"), design)
         if args.do_map:
-            cells = corrected.select("sample", F.col("corrected_barcode").alias("barcode"), F.col("total_count").alias("cnt"),
+            cells = corrected.select("sample", F.col("sample").alias("file"), F.col("corrected_barcode").alias("barcode"), F.col("total_count").alias("cnt"),
                                      F.struct("sample", -F.col("total_count"), "corrected_barcode").alias("position"))
             run_map(cells, at("4_mapped"), args.min_count, args.fraction, args.relative_to, args.plot)
     return 0

@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 MATRIX_SAMPLES = 10_000
 
 
-def usable_counts(cells: DataFrame, min_count: int = 2) -> DataFrame:
-    """`sample`, `barcode`, `cnt`: cells without an ambiguous base and with at least `min_count` reads each, added up."""
+def usable_counts(cells: DataFrame, min_count: int = 2, keys: tuple[str, ...] = ("sample",)) -> DataFrame:
+    """`sample`, `barcode`, `cnt`: cells without an ambiguous base and with at least `min_count` reads each, added up.
+    `keys` names what is added up and judged apart: the sample, or the files of a sample."""
     clear = ~F.contains(F.upper("barcode"), F.lit("N"))
     kept = cells.filter(F.col("barcode").isNotNull() & clear & (F.col("cnt") >= min_count))
-    return kept.groupBy("sample", "barcode").agg(F.sum("cnt").alias("cnt"))
+    return kept.groupBy(*keys, "barcode").agg(F.sum("cnt").alias("cnt"))
 
 
-def relative_abundance(counts: DataFrame, fraction: float = 0.0, relative_to: str = "median") -> DataFrame:
+def relative_abundance(
+    counts: DataFrame, fraction: float = 0.0, relative_to: str = "median", keys: tuple[str, ...] = ("sample",)
+) -> DataFrame:
     """Adds per sample the barcode's share `freq`, the `reference_freq` (mean or median share), `cutoff_freq`, its
     `fraction`, the sample's `n_total` barcodes, and `dropped`: a share strictly below the cutoff.
 
@@ -25,7 +28,7 @@ def relative_abundance(counts: DataFrame, fraction: float = 0.0, relative_to: st
     """
     if relative_to not in ("mean", "median"):
         raise ValueError(f"relative_to must be 'mean' or 'median', not {relative_to!r}")
-    totals = counts.groupBy("sample").agg(
+    totals = counts.groupBy(*keys).agg(
         F.sum("cnt").alias("sample_total"), F.count(F.lit(1)).alias("n_total"),
         (F.avg(F.col("cnt").cast("double")) if relative_to == "mean" else F.median("cnt")).alias("middle"),
     )
@@ -33,7 +36,7 @@ def relative_abundance(counts: DataFrame, fraction: float = 0.0, relative_to: st
     active = (F.lit(fraction) > 0) & (F.col("n_total") > 1) & (F.col("sample_total") > 0)
     reference = F.when(active, F.col("middle") / F.col("sample_total").cast("double"))
     return (
-        counts.join(totals, "sample")
+        counts.join(totals, list(keys))
         .withColumn("freq", F.when(F.col("sample_total") > 0, share))
         .withColumn("reference_freq", reference)
         .withColumn("cutoff_freq", F.lit(float(fraction)) * F.col("reference_freq"))
@@ -73,9 +76,9 @@ def overlap_summary(counts: DataFrame) -> DataFrame:
     )
 
 
-def map_log(counts: DataFrame) -> DataFrame:
+def map_log(counts: DataFrame, keys: tuple[str, ...] = ("sample",)) -> DataFrame:
     """Per sample what the cutoff dropped."""
-    return counts.groupBy("sample", "n_total", "sample_total", "reference_freq", "cutoff_freq").agg(
+    return counts.groupBy(*keys, "n_total", "sample_total", "reference_freq", "cutoff_freq").agg(
         F.count_if("dropped").alias("n_dropped")
     )
 

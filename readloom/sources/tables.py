@@ -58,7 +58,7 @@ def parsed_tables(spark: SparkSession, paths: list[str], ending: str) -> DataFra
 
 
 def corrected_tables(spark: SparkSession, path: str) -> DataFrame:
-    """`sample`, `barcode`, `cnt` and `position` (by file, then line) of corrected-barcode CSV files; a file's sample is
+    """`sample`, `file`, `barcode`, `cnt` and `position` (by file, then line) of corrected-barcode CSV files; a file's sample is
     that of its first line."""
     kinds = "sample string, corrected_barcode string, total_count long, freq_within_sample double"
     df = spark.read.csv(path, header=True, schema=kinds).select(
@@ -67,5 +67,5 @@ def corrected_tables(spark: SparkSession, path: str) -> DataFrame:
     )
     first = df.groupBy("file").agg(F.min_by("sample", "position").alias("sample"))
     return df.drop("sample").join(first, "file").select(
-        "sample", F.col("corrected_barcode").alias("barcode"), F.col("total_count").alias("cnt"), "position"
+        "sample", "file", F.col("corrected_barcode").alias("barcode"), F.col("total_count").alias("cnt"), "position"
     )

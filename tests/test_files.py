@@ -95,6 +95,18 @@ def test_stages_one_by_one(spark, folder):
     assert len(table(at("m/barcode_overlap_summary.csv"))) == 5
 
 
+def test_map_cuts_off_per_file_and_pools_afterwards(spark, tmp_path):
+    """10 reads of Z lie below 0.05 of the first file's median of 1000; in the second file nothing does."""
+    (tmp_path / "in").mkdir()
+    for name, counts in (("lane1", {"X": 1000, "Y": 1000, "Z": 10}), ("lane2", {"Z": 12, "W": 10})):
+        lines = [f"s,{b},{n},{n / sum(counts.values())}" for b, n in counts.items()]
+        (tmp_path / f"in/{name}.csv").write_text("\n".join(["sample,corrected_barcode,total_count,freq_within_sample", *lines]) + "\n")
+    assert main(["map", "--counts-dir", str(tmp_path / "in"), "--outdir", str(tmp_path / "m"), "--min-rel-abundance", "0.05"]) == 0
+    got = {r["barcode"]: r["s"] for r in table(tmp_path / "m/barcode_x_sample_counts.csv")}
+    assert got == {"X": "1000", "Y": "1000", "Z": "12", "W": "10"}
+    assert {r["total_count"] for r in table(tmp_path / "m/barcode_overlap_summary.csv")} == {"1000", "12", "10"}
+
+
 def test_pairs_end_with_the_shorter_file(spark, tmp_path):
     write(str(tmp_path / "s_R1.fq"), [("ACGT", "IIII")] * 3)
     write(str(tmp_path / "s_R2.fq"), [("TTTT", "IIII")] * 2)
