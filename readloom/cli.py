@@ -16,37 +16,46 @@ from .operators import cluster, extract, index_filter, overlap
 from .plans.session import session
 from .plans.shared import cut, spread
 from .sources import sinks, tables
-from .sources.discovery import find_samples, sample_names
+from .sources.discovery import SampleFiles, find_samples, sample_names
 from .sources.fastq import read_samples
 
 log = logging.getLogger("readloom")
 
 
-def run_extract(spark: SparkSession, samples: str, fastq_dir: str, outdir: str, mode: str, design: Design) -> DataFrame:
+def run_extract(spark: SparkSession, found: dict[str, SampleFiles], outdir: str, design: Design) -> DataFrame:
     """Writes parsed tables, counters and unmatched prefixes of every sample; returns the parsed rows."""
-    found = find_samples(sample_names(samples), fastq_dir, mode)
     for s in found.values():
         log.info("[extract] %s (%s): R1=%s R2=%s", s.sample, s.mode, s.r1, s.r2)
     classified = cut(extract.classify(spread(read_samples(spark, found)), design))
     parsed = extract.parsed_rows(classified)
     sinks.write_parsed(parsed, {s.sample: s.mode for s in found.values()}, outdir)
-    for r in sinks.write_stats(extract.read_counters(classified), outdir):
+    for r in sinks.write_stats(extract.read_counters(classified, _names(spark, found)), outdir):
         log.info("[extract] %s: passed %d of %d (%.2f%%)", r["sample"], r["passed"], r["total_reads"], 100 * r["pass_fraction"])
     sinks.write_unmatched(extract.unmatched_tally(extract.unmatched_of(classified), design.top_unmatched_n), list(found), outdir)
     return parsed
 
 
-def run_filter(spark: SparkSession, parsed: DataFrame, index_map: str, outdir: str, design: Design) -> DataFrame:
-    """Writes kept and rejected reads and the summary; returns the kept rows."""
+def _names(spark: SparkSession, samples) -> DataFrame:
+    """Names of samples as a table."""
+    return spark.createDataFrame([(s,) for s in samples], "sample string")
+
+
+def run_filter(
+    spark: SparkSession, parsed: DataFrame, modes: dict[str, str], index_map: str, outdir: str, design: Design
+) -> DataFrame:
+    """Writes kept and rejected reads and the summary of the samples named in `modes`, those without reads included; returns the
+    kept rows."""
     expected = index_filter.expected_indexes(tables.index_map(spark, index_map), "line_no")
-    for r in index_filter.unmapped_samples(parsed, expected).collect():
-        log.warning("[filter] no expected index for sample %s, skipping", r["sample"])
+    mapped = _names(spark, modes).join(expected, "sample", "left_semi")
+    named = {r["sample"] for r in mapped.collect()}
+    for sample in sorted(modes.keys() - named):
+        log.warning("[filter] no expected index for sample %s, skipping", sample)
+    modes = {s: m for s, m in modes.items() if s in named}
     filtered = cut(index_filter.filter_reasons(parsed, expected, design))
-    modes = {r["sample"]: r["mode"] for r in filtered.groupBy("sample").agg(F.max("mode").alias("mode")).collect()}
     reason = F.coalesce("filter_reason", F.lit("")).alias("filter_reason")
     for name, rows in (("kept", filtered.filter("filter_reason is null")), ("filtered", filtered.filter("filter_reason is not null"))):
         sinks.write_parsed(rows.withColumn("filter_reason", reason), modes, os.path.join(outdir, name), ("filter_reason",), f".{name}.tsv")
-    for r in sinks.write_filter_summary(index_filter.filter_summary(filtered), os.path.join(outdir, "filter_summary.csv")):
+    for r in sinks.write_filter_summary(index_filter.filter_summary(filtered, _names(spark, modes)), os.path.join(outdir, "filter_summary.csv")):
         log.info("[filter] %s: kept %d of %d", r["sample"], r["kept"], r["total"])
     return filtered.filter("filter_reason is null")
 
@@ -65,14 +74,17 @@ def run_map(cells: DataFrame, outdir: str, min_count: int, fraction: float, rela
     are added up after it, and the sample's histogram is that of its last file."""
     keys = ("sample", "file")
     os.makedirs(outdir, exist_ok=True)
-    usable = overlap.usable_counts(cells, min_count, keys)
+    usable = overlap.usable_counts(cells, min_count, keys, "position")
     judged = cut(overlap.relative_abundance(usable, fraction, relative_to, keys))
-    if fraction > 0:
-        for r in overlap.map_log(judged, keys).collect():
+    files = overlap.map_log(judged, keys).orderBy(*keys).collect()  # a row per file
+    for r in files if fraction > 0 else ():
+        if r["cutoff_freq"] is None:
+            log.info("[map] %s: no cutoff for %d barcode(s)", r["sample"], r["n_total"])
+        else:
             log.info("[map] %s: dropped %d of %d below %g x %s", r["sample"], r["n_dropped"], r["n_total"], fraction, relative_to)
-    kept = overlap.surviving(judged).groupBy("sample", "barcode").agg(F.sum("cnt").alias("cnt"))
+    kept = overlap.pooled(judged)
     summary = overlap.overlap_summary(kept)
-    place = cells.groupBy("barcode").agg(F.min("position").alias("position"))
+    place = overlap.first_places(judged)
     kept_with = overlap.with_frequency(kept)
     sizes = summary.select("barcode", "n_samples", "total_count")
     names = [r["sample"] for r in kept.select("sample").distinct().orderBy("sample").collect()]
@@ -85,12 +97,14 @@ def run_map(cells: DataFrame, outdir: str, min_count: int, fraction: float, rela
     _ordered_file(summary, place, os.path.join(outdir, "barcode_overlap_summary.csv"), ["barcode", "n_samples", "samples", "total_count"])
     log.info("[map] %d distinct barcodes across %d samples", summary.count(), len(names))
     last = judged.groupBy("sample").agg(F.max("file").alias("file"))
-    if plot and not sinks.write_histograms(overlap.histogram(judged.join(last, list(keys))), os.path.join(outdir, "plots")):
+    lines = {r["sample"]: r for r in files}  # of several files the last one's
+    bins = overlap.histogram(judged.join(last, list(keys)))
+    if plot and not sinks.write_histograms(bins, os.path.join(outdir, "plots"), lines, f"{fraction:g} x {relative_to}"):
         log.warning("[map] matplotlib isn't installed; no plots")
 
 
 def _ordered_file(df: DataFrame, place: DataFrame, target: str, shown: list[str]) -> None:
-    """One CSV file: barcodes of most samples first, then of most reads, then as they were first seen."""
+    """One CSV file: barcodes of most samples first, then of most reads, then as they first survive."""
     keys = [F.desc("n_samples"), F.desc("total_count"), "position"]
     hidden = [c for c in ("n_samples", "total_count") if c not in shown]
     columns = [F.col(f"`{c}`") for c in shown]
@@ -134,10 +148,11 @@ def main(argv: list[str] | None = None) -> int:
     logging.basicConfig(stream=sys.stderr, level=logging.INFO, format="%(message)s")
     design, spark = Design.from_yaml(args.config), session(args.master)
     if args.command == "extract":
-        run_extract(spark, args.samples, args.fastq_dir, args.outdir, args.mode, design)
+        run_extract(spark, find_samples(sample_names(args.samples), args.fastq_dir, args.mode), args.outdir, design)
     elif args.command == "filter":
         paths = sorted(glob.glob(os.path.join(args.parsed_dir, "*.parsed.tsv")))
-        run_filter(spark, tables.parsed_tables(spark, paths, ".parsed.tsv"), args.index_map, args.outdir, design)
+        rows, modes = tables.parsed_tables(spark, paths, ".parsed.tsv"), tables.table_modes(paths, ".parsed.tsv")
+        run_filter(spark, rows, modes, args.index_map, args.outdir, design)
     elif args.command == "cluster":
         for ending in (".kept.tsv", ".parsed.tsv"):  # counters and tallies that lie beside aren't read
             paths = sorted(glob.glob(os.path.join(args.input_dir, f"*{ending}")))
@@ -153,10 +168,12 @@ def main(argv: list[str] | None = None) -> int:
         run_map(cells, args.outdir, args.min_count, args.fraction, args.relative_to, args.plot)
     else:
         at = lambda folder: os.path.join(args.outdir, folder)
-        rows = run_extract(spark, args.samples, args.fastq_dir, at("1_extracted"), args.mode, design)
         names = sample_names(args.samples)
+        found = find_samples(names, args.fastq_dir, args.mode)
+        rows = run_extract(spark, found, at("1_extracted"), design)
         if args.index_map:
-            rows = run_filter(spark, rows, args.index_map, at("2_filtered"), design)
+            modes = {s.sample: s.mode for s in found.values()}
+            rows = run_filter(spark, rows, modes, args.index_map, at("2_filtered"), design)
         corrected = run_cluster(rows, names, at("3_clustered"), design)
         if args.do_map:
             cells = corrected.select("sample", F.col("sample").alias("file"), F.col("corrected_barcode").alias("barcode"), F.col("total_count").alias("cnt"),

@@ -107,8 +107,10 @@ def assignments(counts: DataFrame, design: Design = Design()) -> DataFrame:
         if rounds is None or done + 1 < rounds:
             ready = cut(ready)
         state = state.unionByName(ready)
-        left = left.join(ready.select("sample", F.col("barcode").alias("child")), ["sample", "child"], "left_anti")
         done += 1
+        if rounds is None or done < rounds:
+            left = left.join(ready.select("sample", F.col("barcode").alias("child")), ["sample", "child"], "left_anti")
+            left = cut(left) if rounds is None or done + 1 < rounds else left
     return state
 
 

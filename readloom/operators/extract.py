@@ -58,13 +58,17 @@ def parsed_rows(classified: DataFrame) -> DataFrame:
     )
 
 
-def read_counters(classified: DataFrame) -> DataFrame:
-    """Per sample the reads by status and the share that passed."""
+def read_counters(classified: DataFrame, samples: DataFrame | None = None) -> DataFrame:
+    """Per sample the reads by status and the share that passed. With `samples` (`sample`) a row for each of these, zeros for
+    those without reads."""
     count = lambda s: F.count_if(F.col("status") == s).alias(s)
     counts = classified.groupBy("sample").agg(
         F.count(F.lit(1)).alias("total_reads"), count(PASSED), count(QUALITY), count(STRUCTURE), count(OVERLAP)
     )
-    return counts.withColumn("pass_fraction", F.col("passed").cast("double") / F.col("total_reads").cast("double"))
+    if samples is not None:
+        counts = samples.select("sample").distinct().join(counts, "sample", "left").na.fill(0)
+    share = F.try_divide(F.col("passed").cast("double"), F.col("total_reads").cast("double"))
+    return counts.withColumn("pass_fraction", F.coalesce(share, F.lit(0.0)))
 
 
 def unmatched_tally(failed: DataFrame, top: int | None = 50) -> DataFrame:

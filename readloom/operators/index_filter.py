@@ -36,8 +36,9 @@ def unmapped_samples(parsed: DataFrame, expected: DataFrame) -> DataFrame:
     return parsed.select("sample").distinct().join(expected, "sample", "left_anti")
 
 
-def filter_summary(filtered: DataFrame) -> DataFrame:
-    """Per sample the reads kept and rejected, and the share kept."""
+def filter_summary(filtered: DataFrame, samples: DataFrame | None = None) -> DataFrame:
+    """Per sample the reads kept and rejected, and the share kept. With `samples` (`sample`) a row for each of these, zeros for
+    those without reads."""
     reason = F.col("filter_reason")
     counts = filtered.groupBy("sample").agg(
         F.count_if(reason.isNull()).alias("kept"),
@@ -45,4 +46,7 @@ def filter_summary(filtered: DataFrame) -> DataFrame:
         F.count_if(reason == "motif_absent").alias("motif_absent"),
         F.count(F.lit(1)).alias("total"),
     )
-    return counts.withColumn("kept_fraction", F.col("kept").cast("double") / F.col("total").cast("double"))
+    if samples is not None:
+        counts = samples.select("sample").distinct().join(counts, "sample", "left").na.fill(0)
+    share = F.try_divide(F.col("kept").cast("double"), F.col("total").cast("double"))
+    return counts.withColumn("kept_fraction", F.coalesce(share, F.lit(0.0)))

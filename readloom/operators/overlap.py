@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 MATRIX_SAMPLES = 10_000
 
 
-def usable_counts(cells: DataFrame, min_count: int = 2, keys: tuple[str, ...] = ("sample",)) -> DataFrame:
+def usable_counts(
+    cells: DataFrame, min_count: int = 2, keys: tuple[str, ...] = ("sample",), first: str | None = None
+) -> DataFrame:
     """`sample`, `barcode`, `cnt`: cells without an ambiguous base and with at least `min_count` reads each, added up.
-    `keys` names what is added up and judged apart: the sample, or the files of a sample."""
+    `keys` names what is added up and judged apart: the sample, or the files of a sample. `first` names a column whose least
+    value, that of the first usable cell, is kept."""
     clear = ~F.contains(F.upper("barcode"), F.lit("N"))
     kept = cells.filter(F.col("barcode").isNotNull() & clear & (F.col("cnt") >= min_count))
-    return kept.groupBy(*keys, "barcode").agg(F.sum("cnt").alias("cnt"))
+    place = [F.min(first).alias(first)] if first else []
+    return kept.groupBy(*keys, "barcode").agg(F.sum("cnt").alias("cnt"), *place)
 
 
 def relative_abundance(
@@ -50,6 +54,16 @@ def surviving(counts: DataFrame) -> DataFrame:
     return counts.filter(~F.col("dropped")).select("sample", "barcode", "cnt")
 
 
+def pooled(counts: DataFrame) -> DataFrame:
+    """The same, what the cutoff left in the files of one sample added up."""
+    return surviving(counts).groupBy("sample", "barcode").agg(F.sum("cnt").alias("cnt"))
+
+
+def first_places(counts: DataFrame, first: str = "position") -> DataFrame:
+    """Per barcode where it first survives: among equals the matrices list it there."""
+    return counts.filter(~F.col("dropped")).groupBy("barcode").agg(F.min(first).alias(first))
+
+
 def with_frequency(counts: DataFrame) -> DataFrame:
     """Adds `freq`, the share of the sample's surviving reads: the matrix in long form."""
     totals = counts.groupBy("sample").agg(F.sum("cnt").alias("all"))

@@ -38,11 +38,11 @@ v AS (
                  ELSE concat(substr(bc0,1,mpos-1), translate(substr(bc0,mpos,1),'ACGT','CGTA'), substr(bc0,mpos+1)) END AS barcode
   FROM bc),
 s AS (
-  SELECT *, concat(idx1, substr(umi,1,8), primer1, barcode, 'GCCACGGCCGCGTCGACCCCACGCCCCTCT') AS r1_seq,
+  SELECT *, concat(idx1, substr(umi,1,8), primer1, barcode, 'CATGTTACCGGATTGCAAGTCTGACGATCA') AS r1_seq,
          CASE WHEN sno = 3 THEN NULL
               ELSE concat('TTAGGC', substr(umi,9,8), 'AATCAGTCCAGTTATGCTGTGAA',
                           CASE WHEN l_orderkey % 29 = 0 THEN substr(junk,1,30)
-                               ELSE 'AGAGGGGCGTGGGGTCGACGCGGCCGTGGC' END) END AS r2_seq
+                               ELSE 'TGATCGTCAGACTTGCAATCCGGTAACATG' END) END AS r2_seq
   FROM v)
 SELECT sample, CAST(read_idx AS BIGINT) AS read_idx, r1_seq,
        CASE WHEN l_quantity < 3 THEN concat(repeat('#', 61), repeat('I', CAST(length(r1_seq) AS INT) - 61))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import csv
 import glob
+import math
 import os
 import shutil
 import uuid
@@ -19,8 +20,21 @@ from .tables import PARSED, PARSED_SE
 
 
 def fixed(value: str | Column, places: int) -> Column:
-    """A double as text with so many places, rounded half to even."""
-    return F.format_string(f"%.{places}f", F.bround(value, places))
+    """A double from 0 to about 10^9 as text with so many places. The double's exact binary value is rounded, half to even.
+
+    The product with 10^places is taken with its rounding error: the factor's upper half times 10^places has no error, nor has
+    the lower half's, so both sides of the tie are told apart.
+    """
+    d, scale = F.col(value) if isinstance(value, str) else value, F.lit(float(10**places))
+    high = d * F.lit(2.0**27 + 1) - (d * F.lit(2.0**27 + 1) - d)
+    product = d * scale
+    error = (high * scale - product) + (d - high) * scale
+    whole = F.floor(product)
+    above = (product - whole - F.lit(0.5)) + error
+    n = whole + F.when((above > 0) | ((above == 0) & (whole % 2 == 1)), 1).otherwise(0)
+    if not places:
+        return n.cast("string")
+    return F.concat(F.floor(n / 10**places), F.lit("."), F.lpad((n % 10**places).cast("string"), places, "0"))
 
 
 def _join(folder: str, target: str, names: list[str], sep: str) -> None:
@@ -128,8 +142,15 @@ def write_corrected(corrected: DataFrame, samples: list[str], folder: str) -> No
     per_sample(shown, samples, folder, ".corrected_barcodes.csv", ",", with_sample=True)
 
 
-def write_histograms(histogram: DataFrame, folder: str) -> list[str]:
-    """A picture per sample if matplotlib is there; else none. The bins come from Spark."""
+def _lines_of(row, named: str) -> list[tuple[float, str, str]]:
+    """The vertical lines of a histogram: the cutoff share and the reference it comes from."""
+    drawn = (("cutoff_freq", "--", f"cutoff {named}"), ("reference_freq", ":", "reference"))
+    return [(row[c], style, f"{text}: {row[c]:.2e}") for c, style, text in drawn if row and row[c]]
+
+
+def write_histograms(histogram: DataFrame, folder: str, lines: dict | None = None, named: str = "") -> list[str]:
+    """A picture per sample if matplotlib is there; else none. The bins come from Spark. `lines` has by sample the row of the map
+    log, whose cutoff and reference share are drawn; `named` says what the cutoff is."""
     try:
         import matplotlib
 
@@ -147,7 +168,9 @@ def write_histograms(histogram: DataFrame, folder: str) -> list[str]:
         fig, ax = plt.subplots(figsize=(8, 5))
         ax.bar(left, kept, width, align="edge", label=f"kept ({sum(kept)})")
         ax.bar(left, dropped, width, bottom=kept, align="edge", label=f"dropped ({sum(dropped)})")
-        ax.set(title=sample, xlabel="log10 of the share of the sample", ylabel="barcodes")
+        for value, style, text in _lines_of((lines or {}).get(sample), named):
+            ax.axvline(math.log10(value), linestyle=style, color="0.3", label=text)
+        ax.set(title=f"{sample}: {sum(dropped)} of {sum(kept) + sum(dropped)} dropped", xlabel="log10 of the share of the sample", ylabel="barcodes")
         ax.legend()
         out.append(os.path.join(folder, f"{sample}.count_distribution.png"))
         fig.savefig(out[-1], dpi=120)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +58,16 @@ def parsed_tables(spark: SparkSession, paths: list[str], ending: str) -> DataFra
     return out.withColumn("best_overlap_dist", distance).withColumn("mode", mode)
 
 
+def table_modes(paths: list[str], ending: str) -> dict[str, str]:
+    """By the headers of parsed (or kept) tables whether each sample is paired-end (PE) or single-end (SE), rows or none."""
+    modes = {}
+    for path in paths:
+        with open(path) as f:
+            columns = f.readline().rstrip("\r\n").split("\t")
+        modes[os.path.basename(path).removesuffix(ending)] = "PE" if "Index2" in columns else "SE"
+    return modes
+
+
 def corrected_tables(spark: SparkSession, path: str) -> DataFrame:
     """`sample`, `file`, `barcode`, `cnt` and `position` (by file, then line) of corrected-barcode CSV files; a file's sample is
     that of its first line."""

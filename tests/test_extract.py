@@ -14,7 +14,7 @@ from readloom.functions.structure import exact_parts, fuzzy_parts, fuzzy_pattern
 from readloom.operators import extract
 
 D = Design()
-DOWN = "GCCACGGCCGCGTCGACCCCACGCCCCTCTTTAATACGACGGG"
+DOWN = "CATGTTACCGGATTGCAAGTCTGACGATCAGTTCAGCATACGC"
 BARCODE = "AAAAAACCCCCCGATTTTTTCGGGGG"
 READS = "sample string, read_idx long, r1_seq string, r1_qual string, r2_seq string, r2_qual string"
 COMPLEMENT = str.maketrans("ACGTNacgtn", "TGCANtgcan")

@@ -2,53 +2,76 @@
 
 import csv
 import gzip
+import hashlib
 import os
 import random
 
 import pytest
 
 from readloom.cli import main
-from readloom.sources import discovery
+from readloom.design import Design
+from readloom.functions.sequences import complement as rev_comp_text
+from readloom.sources import discovery, sinks
 from readloom.sources.fastq import part_files, read_fastq, read_fastq_split, read_samples, records, split_records
 
-P1, P2 = "GCCACTCGAGCACCTAGGAGG", "AATCAGTCCAGTTATGCTGTGAA"
-DOWN = "GCCACGGCCGCGTCGACCCCACGCCCCTCTTTAATACGACGGGCAATTTGCACTTCAG"
+D = Design()
+TAIL = "CATGTTACCGGATTGCAAGTCTGACGATCAGTTCAGCATACGCTTGGAC"
+INDEXES = {1: "GCCAAT", 2: "TTAGGC"}
 
 
-def letters(rng, n):
-    return "".join(rng.choice("ACGT") for _ in range(n))
+def dna(n, *named):
+    """n bases that depend on what is named only."""
+    digest = hashlib.shake_128(repr(named).encode()).digest(n)
+    return "".join("TGAC"[byte % 4] for byte in digest)
 
 
-def barcode(rng):
-    return letters(rng, 5) + "AC" + letters(rng, 5) + "GA" + letters(rng, 5) + "TC" + letters(rng, 5)
+def tag(name):
+    """A barcode of the design: its motif with the open places filled."""
+    free = iter(dna(len(D.barcode_motif), "tag", name))
+    return "".join(next(free) if c == "N" else c.upper() for c in D.barcode_motif)
 
 
-def pair(rng, bc, kind="good"):
-    down2 = DOWN.translate(str.maketrans("ACGT", "TGCA"))[::-1] if kind != "overlap" else "AT" * 25
-    r1 = "GCCAAT" + letters(rng, 8) + (P1 if kind != "structure" else "T" * 21) + bc + DOWN
-    r2 = "TTAGGC" + letters(rng, 8) + P2 + down2
-    return (r1, "#" * 61 + "I" * (len(r1) - 61) if kind == "quality" else "I" * len(r1)), (r2, "I" * len(r2))
+def fragment(sample, number, barcode, flaw=None):
+    """Sequences and qualities of both reads of one fragment, with one flaw: a bad `base` in the UMI, a `primer` of 10 foreign
+    bases, or another `insert` in the second read."""
+    primer = D.inner_p1_primer if flaw != "primer" else D.inner_p1_primer[:11] + "A" * 10
+    opposite = rev_comp_text(TAIL) if flaw != "insert" else "C" * 40
+    one = INDEXES[1] + dna(8, sample, number, "umi1") + primer + barcode + TAIL
+    two = INDEXES[2] + dna(8, sample, number, "umi2") + D.inner_p2_primer + opposite
+    good = chr(33 + D.qmin)
+    marks = "".join(chr(33 + D.qmin - 1) if flaw == "base" and i == 9 else good for i in range(len(one)))
+    return (one, marks), (two, good * len(two))
 
 
 def write(path, reads):
     with (gzip.open if path.endswith(".gz") else open)(path, "wt") as f:
-        for i, (s, q) in enumerate(reads):
-            f.write(f"@read{i}/1\n{s}\n+\n{q}\n")
+        f.writelines(f"@m:{k}\n{sequence}\n+\n{marks}\n" for k, (sequence, marks) in enumerate(reads, 1))
+
+
+#: Per sample the fragments of each barcode; the three flaws have barcodes of their own.
+CONTENT = {
+    "Sample_A": {"both": 30, "both too": 15, "a's": 10, "base": 5, "primer": 5, "insert": 5},
+    "Sample_B": {"both": 8, "both too": 20, "b's": 12},
+    "Sample_C": {"c's": 20},
+    "Sample_D": {},
+}
+FILES = {"Sample_A": "Sample_A_S1_L001_R{}_001.fastq.gz", "Sample_B": "Sample_B_S2_L001_R{}_001.fastq.gz",
+         "Sample_C": "Sample_C_S3_L001_R{}_001.fastq", "Sample_D": "Sample_D_R{}.fq"}
 
 
 @pytest.fixture
 def folder(tmp_path):
-    rng = random.Random(7)
-    shared, other, own_a, own_b, single = ([barcode(rng) for _ in range(5)])
-    a = [pair(rng, b) for b, n in ((shared, 30), (other, 15), (own_a, 10)) for _ in range(n)]
-    a += [pair(rng, barcode(rng), kind) for kind in ("quality", "structure", "overlap") for _ in range(5)]
-    b = [pair(rng, x) for x, n in ((shared, 8), (other, 20), (own_b, 12)) for _ in range(n)]
-    for name, reads in (("Sample_A_S1_L001", a), ("Sample_B_S2_L001", b)):
-        for n in (0, 1):
-            write(str(tmp_path / f"{name}_R{n + 1}_001.fastq.gz"), [p[n] for p in reads])
-    write(str(tmp_path / "Sample_C_S3_L001_R1_001.fastq"), [pair(rng, single)[0] for _ in range(20)])
-    (tmp_path / "samples.txt").write_text("# samples\nSample_A\n\n Sample_B \nSample_C\n")
-    (tmp_path / "index_map.csv").write_text("sample,expected_index\nSample_A,GCCAATTTAGGC\nSample_B,gccaatttaggc\nSample_C,GCCAAT\n")
+    """Two paired-end samples, a single-end one and a paired-end one without reads."""
+    for sample, content in CONTENT.items():
+        drawn = [(name, k) for name, n in content.items() for k in range(n)]
+        flaws = {"base", "primer", "insert"}
+        pairs = [fragment(sample, i, tag((name, k) if name in flaws else name), name if name in flaws else None) for i, (name, k) in enumerate(drawn)]
+        for read in (1,) if sample == "Sample_C" else (1, 2):
+            write(str(tmp_path / FILES[sample].format(read)), [p[read - 1] for p in pairs])
+    (tmp_path / "samples.txt").write_text("# samples\nSample_A\n\n Sample_B \nSample_C\nSample_D\n")
+    whole = INDEXES[1] + INDEXES[2]
+    lines = ["sample,expected_index", f"Sample_A,{whole}", f"Sample_B,{whole.lower()}", f"Sample_C,{INDEXES[1]}", f"Sample_D,{whole}"]
+    (tmp_path / "index_map.csv").write_text("\n".join(lines) + "\n")
     return tmp_path
 
 
@@ -69,7 +92,17 @@ def test_whole_run(spark, folder):
     assert len(single) == 20 and list(single[0]) == ["Combined_UMI", "Combined_Index", "Barcode", "Index1", "UMI1"]
     assert len(table(out / "1_extracted/Sample_A.unmatched.tsv", "\t")) == 5
     assert table(out / "1_extracted/Sample_B.unmatched.tsv", "\t") == []
-    assert [r["kept_fraction"] for r in table(out / "2_filtered/filter_summary.csv")] == ["1.0000"] * 3
+    assert [r["kept_fraction"] for r in table(out / "2_filtered/filter_summary.csv")] == ["1.0000"] * 3 + ["0.0000"]
+    assert (out / "1_extracted/Sample_D.stats.tsv").read_text() == "".join(
+        f"# {k}\t0\n" for k in ("Total_reads", "Passed", "Quality_fail", "Regex_fail", "Overlap_fail")
+    ) + "# Pass_fraction\t0.0000\n"
+    assert table(out / "2_filtered/filter_summary.csv")[3] == {
+        "sample": "Sample_D", "kept": "0", "index_mismatch": "0", "motif_absent": "0", "total": "0", "kept_fraction": "0.0000"
+    }
+    for name in ("1_extracted/Sample_D.parsed.tsv", "2_filtered/kept/Sample_D.kept.tsv", "2_filtered/filtered/Sample_D.filtered.tsv"):
+        assert (out / name).read_text().startswith("Combined_UMI\tCombined_Index\tBarcode\tIndex1\tIndex2")
+        assert len((out / name).read_text().splitlines()) == 1
+    assert table(out / "3_clustered/Sample_D.corrected_barcodes.csv") == []
     assert [int(r["total_count"]) for r in table(out / "3_clustered/Sample_A.corrected_barcodes.csv")] == [30, 15, 10]
     summary = table(out / "4_mapped/barcode_overlap_summary.csv")
     assert sum(r["n_samples"] == "2" for r in summary) == 2 and summary[0]["samples"] == "Sample_A;Sample_B"
@@ -89,7 +122,8 @@ def test_stages_one_by_one(spark, folder):
     assert main(["map", "--counts-dir", at("c"), *common, at("m"), "--min-count", "9", "--min-rel-abundance", "0.05", "--relative-to", "mean"]) == 0
     assert main(["cluster", "--input-dir", at("m"), *common, at("none")]) == 1
     assert table(at("c/Sample_B.corrected_barcodes.csv")) == table(at("c2/Sample_B.corrected_barcodes.csv"))
-    assert table(at("f/filtered/Sample_A.filtered.tsv"), "\t") == []
+    assert table(at("f/filtered/Sample_A.filtered.tsv"), "\t") == [] == table(at("f/kept/Sample_D.kept.tsv"), "\t")
+    assert [r["total"] for r in table(at("f/filter_summary.csv"))] == ["55", "40", "20", "0"]
     kept = table(at("f/kept/Sample_A.kept.tsv"), "\t")
     assert len(kept) == 55 and kept[0]["filter_reason"] == "" and kept[0]["BestOverlapDist"] == "0"
     assert len(table(at("m/barcode_overlap_summary.csv"))) == 5
@@ -107,6 +141,28 @@ def test_map_cuts_off_per_file_and_pools_afterwards(spark, tmp_path):
     assert {r["total_count"] for r in table(tmp_path / "m/barcode_overlap_summary.csv")} == {"1000", "12", "10"}
 
 
+def test_map_lists_equals_by_their_first_survival(spark, tmp_path):
+    """GGG stands before CCC in file a, but too rarely to count there."""
+    (tmp_path / "in").mkdir()
+    for name, rows in (("a", ["TTT,10", "GGG,1", "CCC,10"]), ("b", ["GGG,10"]), ("c", ["NNN,99"])):
+        lines = ["sample,corrected_barcode,total_count,freq_within_sample", *[f"{name},{r},0.5" for r in rows]]
+        (tmp_path / f"in/{name}.csv").write_text("\n".join(lines) + "\n")
+    assert main(["map", "--counts-dir", str(tmp_path / "in"), "--outdir", str(tmp_path / "m")]) == 0
+    for name in ("x_sample_counts", "x_sample_freq", "overlap_summary"):
+        assert [r["barcode"] for r in table(tmp_path / f"m/barcode_{name}.csv")] == ["TTT", "CCC", "GGG"]
+
+
+def test_shares_are_rounded_like_their_binary_value(spark):
+    rng = random.Random(11)
+    values = [rng.randrange(1, b + 1) / b for b in (rng.choice([7, 64, 999, 10**6, 2 * 10**6, 2**20, 10**9]) for _ in range(3000))]
+    values += [7 / 2e6, 5 / 2e6, 1 / 128, 3 / 128, 0.5, 1.5, 2.5, 0.0, 1.0, 12345.678905, 0.9999995, 5e-7, 1e-300]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    got = df.select("v", *[sinks.fixed("v", k).alias(f"p{k}") for k in (0, 1, 4, 6)]).collect()
+    for r in got:
+        for k in (0, 1, 4, 6):
+            assert r[f"p{k}"] == (None if r["v"] is None else f"{r['v']:.{k}f}"), (r["v"], k)
+
+
 def test_pairs_end_with_the_shorter_file(spark, tmp_path):
     write(str(tmp_path / "s_R1.fq"), [("ACGT", "IIII")] * 3)
     write(str(tmp_path / "s_R2.fq"), [("TTTT", "IIII")] * 2)
@@ -141,7 +197,7 @@ def test_discovery(tmp_path):
 
 def odd_reads(rng):
     """Qualities that begin like headers, and like the line between."""
-    return [(letters(rng, n), "".join(rng.choice("@+I") for _ in range(n))) for n in [rng.randrange(1, 30) for _ in range(12)]]
+    return [("".join(rng.choices("ACGT", k=n)), "".join(rng.choice("@+I") for _ in range(n))) for n in [rng.randrange(1, 30) for _ in range(12)]]
 
 
 @pytest.mark.parametrize("split_bytes", [1, 7, 17, 100, 10**6])
