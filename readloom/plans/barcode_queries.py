@@ -60,7 +60,9 @@ def motif_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cluster.barcode_counts(parsed_reads(spark, sf_dir))
+    """Deliveries of a read repeat its barcode, so the other columns aren't shuffled."""
+    rows = table(spark, sf_dir, "parsed").select(F.col("sample_name").alias("sample"), "read_idx", clean_value("barcode").alias("barcode"))
+    return cluster.barcode_counts(rows.filter("barcode is not null").distinct())
 
 
 def barcode_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,6 +49,24 @@ def put_file(spark: SparkSession, name: str, data: bytes) -> str:
     return f"spark-file:{name}"
 
 
+def put_table(df: DataFrame) -> str:
+    """Writes df as Parquet where every task can open it, whatever its size; returns the key for local_parts(). Rows don't pass
+    through the driver: executors open the shared folder or, where it is no mount, fetch the files from it once."""
+    spark, name = df.sparkSession, f"table-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
+    df.write.parquet(path)
+    if urlparse(path).scheme in ("", "file"):
+        return urlparse(path).path
+    spark.sparkContext.addFile(path, recursive=True)
+    return f"spark-file:{name}"
+
+
+def local_parts(key: str) -> list[str]:
+    """A task's local paths of the files of a table that put_table() stored."""
+    folder = local_file(key)
+    return [os.path.join(folder, f) for f in sorted(os.listdir(folder)) if f.startswith("part-")]
+
+
 def local_file(key: str) -> str:
     """A task's local path of a file that put_file() stored."""
     return SparkFiles.get(key.split(":", 1)[1]) if key.startswith("spark-file:") else key
