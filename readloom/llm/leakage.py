@@ -7,10 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.shared import cut, spread
+from ..plans.shared import local_parts, put_table, spread
 from .fm_index import FMIndex
 
 #: A shared run of at least so many words is a leak.
@@ -19,8 +20,10 @@ RUN = 9
 SHARD_WORDS = 400_000
 #: Words of a piece of a passage; longer passages are searched in pieces that overlap by RUN - 1 words.
 PIECE_WORDS = 2_000
-#: Letters of passages handled in one pass over the documents, about: it bounds what the driver holds and broadcasts.
-PASS_CHARS = 4_000_000
+#: Pieces of passages that a task reads and searches at a time.
+BLOCK_PIECES = 256
+#: Words of passages that a task keeps between shards; beyond them it reads the blocks anew for every shard.
+HELD_WORDS = 2_000_000
 
 #: Longest runs of letters or digits of any script.
 WORD = re.compile(r"[^\W_]+")
@@ -33,92 +36,116 @@ def words(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
-class Phrases:
-    """All runs of RUN words of the passages as symbols, and the passages that hold each."""
-
-    def __init__(self, items: list[tuple[int, str]]):
-        self.symbol: dict[str, int] = {}
-        held: dict[tuple[int, ...], list[int]] = {}
-        for item_id, text in items:
-            own = [self.symbol.setdefault(w, len(self.symbol) + 3) for w in words(text)]
-            for i in range(len(own) - RUN + 1):
-                at = held.setdefault(tuple(own[i : i + RUN]), [])
-                if not at or at[-1] != item_id:
-                    at.append(item_id)
-        self.table = np.array(list(held), np.int64).reshape(-1, RUN)
-        self.items = [sorted(set(v)) for v in held.values()]
-        self.n_symbols = len(self.symbol) + 3  # 0 ends the sequence, 1 parts documents, 2 is any other word
-
-
-def shard_spans(shard: list[tuple[int, int, list[int]]], phrases: Phrases) -> Iterator[tuple[int, int, int, int]]:
-    """Spans (doc_id, item_id, first word, behind the last) of a shard's pieces (doc_id, offset, symbols)."""
-    lengths = np.array([len(s) + 1 for _, _, s in shard], np.int64)
-    begins = np.concatenate([[0], np.cumsum(lengths)])
-    text = np.ones(int(begins[-1]), np.int64)
-    for (_, _, s), b in zip(shard, begins):
-        text[b : b + len(s)] = s
-    index = FMIndex(text, phrases.n_symbols)
-    low, high = index.search(phrases.table)
-    n = high - low
-    rows = np.repeat(low, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    phrase, at = np.repeat(np.arange(len(n)), n), index.locate(rows)
-    piece = np.searchsorted(begins, at, "right") - 1
-    hits = sorted(
-        (p, item, a) for p, f, a in zip(piece.tolist(), phrase.tolist(), at.tolist()) for item in phrases.items[f]
-    )
-    open_span: list | None = None
-    for p, item, a in hits:
-        if open_span and open_span[:2] == [p, item] and a <= open_span[3]:
-            open_span[3] = a + RUN
-        else:
-            if open_span:
-                yield _placed(open_span, shard, begins)
-            open_span = [p, item, a, a + RUN]
-    if open_span:
-        yield _placed(open_span, shard, begins)
-
-
-def _placed(span: list, shard: list, begins: np.ndarray) -> tuple[int, int, int, int]:
-    p, item, a, b = span
-    doc_id, offset, _ = shard[p]
-    by = offset - int(begins[p])
-    return doc_id, item, a + by, b + by
-
-
-def _find(batches: Iterator[pa.RecordBatch], phrases: Phrases) -> Iterator[pa.RecordBatch]:
-    """Indexes a partition's documents shard by shard."""
-    names = [c.split()[0] for c in SPANS.split(", ")]
-
-    def found() -> pa.RecordBatch:
-        spans = list(shard_spans(shard, phrases))
-        return pa.RecordBatch.from_arrays([pa.array([s[i] for s in spans], pa.int64()) for i in range(4)], names)
-
-    shard, size = [], 0
+class Block:
+    """Pieces of passages: their words as numbers in a vocabulary of the block's own, and where runs of RUN words begin."""
+
+    def __init__(self, item_ids: list[int], pieces: pa.ListArray):
+        coded = pieces.flatten().dictionary_encode()
+        self.vocabulary = coded.dictionary.to_pylist()
+        self.codes = coded.indices.to_numpy().astype(np.int64)
+        lengths = np.diff(pieces.offsets.to_numpy())
+        runs = np.maximum(lengths - RUN + 1, 0)
+        begins = np.cumsum(lengths) - lengths
+        self.at = np.repeat(begins, runs) + np.arange(int(runs.sum())) - np.repeat(np.cumsum(runs) - runs, runs)
+        self.item_ids = np.repeat(np.array(item_ids, np.int64), runs)
+
+    def phrases(self, symbols: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """The runs of words that all have a symbol, as symbols, and their passages."""
+        own = np.array([symbols.get(w, 0) for w in self.vocabulary] or [0], np.int64)[self.codes]
+        unknown = np.concatenate([[0], np.cumsum(own == 0)])
+        known = unknown[self.at + RUN] == unknown[self.at]
+        return own[self.at[known][:, None] + np.arange(RUN)], self.item_ids[known]
+
+
+class Passages:
+    """The blocks of all passages, read from the table that put_table() stored; a bounded number of them is kept."""
+
+    def __init__(self, key: str):
+        self.paths, self.held, self.whole = local_parts(key), [], False
+
+    def blocks(self) -> Iterator[Block]:
+        if self.whole:
+            yield from self.held
+            return
+        held, n = [], 0
+        for path in self.paths:
+            for batch in pq.ParquetFile(path).iter_batches(BLOCK_PIECES, columns=["item_id", "words"]):
+                block = Block(batch.column(0).to_pylist(), batch.column(1))
+                n += len(block.codes)
+                if n <= HELD_WORDS:
+                    held.append(block)
+                yield block
+        if n <= HELD_WORDS:
+            self.held, self.whole = held, True
+
+
+class Shard:
+    """The FM-index of pieces of documents (doc_id, first word's number, words), over the words of these pieces."""
+
+    def __init__(self, pieces: list[tuple[int, int, list[str]]]):
+        lengths = np.array([len(w) + 1 for _, _, w in pieces], np.int64)
+        self.begins = np.concatenate([[0], np.cumsum(lengths)])
+        self.doc_ids = np.array([d for d, _, _ in pieces], np.int64)
+        self.offsets = np.array([o for _, o, _ in pieces], np.int64)
+        self.symbols: dict[str, int] = {}  # 0 ends the sequence, 1 parts pieces
+        text = np.ones(int(self.begins[-1]), np.int64)
+        for (_, _, own), b in zip(pieces, self.begins):
+            text[b : b + len(own)] = [self.symbols.setdefault(w, len(self.symbols) + 2) for w in own]
+        self.index = FMIndex(text, len(self.symbols) + 2)
+
+    def spans(self, block: Block) -> np.ndarray:
+        """Spans (doc_id, item_id, first word, behind the last) in columns; those that overlap are merged."""
+        phrases, item_ids = block.phrases(self.symbols)
+        low, high = self.index.search(phrases)
+        n = high - low
+        rows = np.repeat(low, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        items, at = np.repeat(item_ids, n), self.index.locate(rows)
+        piece = np.searchsorted(self.begins, at, "right") - 1
+        order = np.lexsort((at, items, piece))
+        items, at, piece = items[order], at[order], piece[order]
+        new = np.ones(len(at), bool)
+        new[1:] = (piece[1:] != piece[:-1]) | (items[1:] != items[:-1]) | (at[1:] > at[:-1] + RUN)
+        first, last = np.flatnonzero(new), np.flatnonzero(np.append(new[1:], True)[: len(new)])
+        shift = (self.offsets - self.begins[:-1])[piece]
+        return np.stack([self.doc_ids[piece[first]], items[first], (at + shift)[first], (at + shift)[last] + RUN])
+
+
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
+    """The indexes of a partition's documents, one after the other."""
+    pieces, size = [], 0
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            own = [phrases.symbol.get(w, 2) for w in words(text)]
+            own = words(text)
             for offset in range(0, max(1, len(own) - RUN + 1), SHARD_WORDS):
                 piece = own[offset : offset + SHARD_WORDS + RUN - 1]
                 if len(piece) >= RUN:
-                    shard.append((doc_id, offset, piece))
+                    pieces.append((doc_id, offset, piece))
                     size += len(piece)
                 if size >= SHARD_WORDS:
-                    yield found()
-                    shard, size = [], 0
-    if shard:
-        yield found()
+                    yield Shard(pieces)
+                    pieces, size = [], 0
+    if pieces:
+        yield Shard(pieces)
+
+
+def _find(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """Indexes a partition's documents shard by shard, each once, and searches each for all blocks of passages."""
+    names, passages = [c.split()[0] for c in SPANS.split(", ")], Passages(key)
+    for shard in _shards(batches):
+        for block in passages.blocks():
+            yield pa.RecordBatch.from_arrays([pa.array(column) for column in shard.spans(block)], names)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Passages (item_id, item_text) to pieces of their words, parted by blanks; those too short to match are left out."""
+    """Passages (item_id, item_text) to pieces of their words; those too short to match are left out."""
     for batch in batches:
-        out: list[tuple[int, str]] = []
+        out: list[tuple[int, list[str]]] = []
         for item_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             own = words(text)
             for at in range(0, len(own) - RUN + 1, PIECE_WORDS):
-                out.append((item_id, " ".join(own[at : at + PIECE_WORDS + RUN - 1])))
-        columns = [pa.array([i for i, _ in out], pa.int64()), pa.array([t for _, t in out], pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, ["item_id", "item_text"])
+                out.append((item_id, own[at : at + PIECE_WORDS + RUN - 1]))
+        columns = [pa.array([i for i, _ in out], pa.int64()), pa.array([w for _, w in out], pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays(columns, ["item_id", "words"])
 
 
 def leaked_spans(documents: DataFrame, items: DataFrame) -> DataFrame:
@@ -127,22 +154,14 @@ def leaked_spans(documents: DataFrame, items: DataFrame) -> DataFrame:
 
     Passages of fewer than RUN words, and null or empty texts, match nothing. Rows with a null doc_id or item_id are
     ignored, repeated rows give their spans once, empty tables give no row, other columns are not read. Texts of any
-    length are indexed whole. Passages of any number and length are searched some PASS_CHARS letters at a time: each time
-    every shard is indexed over their words, so that no task ever holds more than one shard and one block of passages;
-    documents are not shuffled.
+    length are indexed whole. Documents are read, split and indexed once, however many passages there are, and aren't
+    shuffled; passages are a table that tasks read block by block, so a task holds one shard and one block, or up to
+    HELD_WORDS words of passages, and neither is collected or broadcast.
     """
     texts = spread(documents.filter("doc_id is not null").select("doc_id", "text"))
     kept = items.filter("item_id is not null and item_text is not null").select("item_id", "item_text")
-    pieces = cut(kept.mapInArrow(_pieces, "item_id long, item_text string").distinct())
-    blocks = -(-pieces.agg(F.coalesce(F.sum(F.length("item_text")), F.lit(0))).first()[0] // PASS_CHARS)
-    parts = []
-    for k in range(blocks):
-        own = pieces.filter(F.pmod(F.xxhash64("item_id", "item_text"), F.lit(blocks)) == k)
-        sent = documents.sparkSession.sparkContext.broadcast(Phrases([tuple(r) for r in own.toLocalIterator()]))
-        parts.append(texts.mapInArrow(lambda b, sent=sent: _find(b, sent.value), SPANS))
-    spans = documents.sparkSession.createDataFrame([], SPANS)
-    for part in parts:
-        spans = spans.unionByName(part)
+    key = put_table(kept.mapInArrow(_pieces, "item_id long, words array<string>").distinct())
+    spans = texts.mapInArrow(lambda batches: _find(batches, key), SPANS)
     own = Window.partitionBy("doc_id", "item_id").orderBy("start_word", "end_word")
     reach = F.max("end_word").over(own.rowsBetween(Window.unboundedPreceding, -1))
     opened = spans.distinct().withColumn("new", (reach.isNull() | (F.col("start_word") > reach)).cast("int"))

@@ -65,6 +65,15 @@ ORACLE = {
              g AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 7), lambda k: array_to_string(w[k:k+8], ' '))) AS g FROM d),
              h AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 7), lambda k: array_to_string(w[k:k+8], ' '))) AS g FROM i)
         SELECT DISTINCT doc_id, item_id FROM g JOIN h USING (g)""",
+    "p8_spans": """
+        WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
+             i AS (SELECT item_id, regexp_extract_all(lower(item_text), '[\\p{L}\\p{N}]+') AS w FROM eval_items),
+             g AS (SELECT doc_id, unnest(range(0, len(w) - 8)) AS pos, unnest(list_transform(range(1, len(w) - 7), lambda k: array_to_string(w[k:k+8], ' '))) AS g FROM d),
+             h AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 7), lambda k: array_to_string(w[k:k+8], ' '))) AS g FROM i),
+             m AS (SELECT DISTINCT doc_id, item_id, pos FROM g JOIN h USING (g)),
+             n AS (SELECT *, coalesce(pos > lag(pos) OVER (PARTITION BY doc_id, item_id ORDER BY pos) + 9, true)::INT AS opens FROM m),
+             s AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id, item_id ORDER BY pos) AS span FROM n)
+        SELECT doc_id, item_id, min(pos) AS start_word, max(pos) + 9 AS end_word FROM s GROUP BY doc_id, item_id, span""",
     "p9_statistics": f"WITH {_STATS} SELECT * FROM s",
     "p9_found": f"""
         WITH {_STATS} SELECT doc_id FROM s WHERE n_visible > 0 AND (common_share < 0.15)::INT + (closed_share < 0.4)::INT

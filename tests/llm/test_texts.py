@@ -5,13 +5,16 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from readloom.llm.fm_index import FMIndex, WaveletMatrix, suffix_array
-from readloom.llm.leakage import RUN, Phrases, leaked_spans, leaks, shard_spans, words
+from readloom.llm import leakage
+from readloom.llm.leakage import RUN, leaked_spans, leaks, words
 from readloom.llm.quality import FEATURES, defects, judged, junk, learn_rules, text_statistics, unrefuted
 from readloom.llm.queries import ranks_path
 from readloom.llm.rules import Test as RuleTest
@@ -112,9 +115,6 @@ def test_leaks(spark, monkeypatch, shard):
     docs, items = leak_case()
     if shard:  # small shards, so that texts are indexed in pieces
         monkeypatch.setattr("readloom.llm.leakage.SHARD_WORDS", shard)
-        phrases = Phrases([i for i in items if i[0] is not None])
-        own = [phrases.symbol.get(w, 2) for w in words(docs[0][1])]
-        assert list(shard_spans([(7, 0, own)], phrases))
     d = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit("x"))
     i = spark.createDataFrame(items, "item_id long, item_text string").withColumn("text", F.lit("x"))
     want = {(a, b) for a, x in docs for b, y in items if a is not None and b is not None and runs(x) & runs(y)}
@@ -127,7 +127,8 @@ def test_leaks(spark, monkeypatch, shard):
 
 
 def test_leaks_in_blocks_of_items_and_long_texts(spark, monkeypatch):
-    monkeypatch.setattr("readloom.llm.leakage.PASS_CHARS", 1500)
+    monkeypatch.setattr("readloom.llm.leakage.BLOCK_PIECES", 3)
+    monkeypatch.setattr("readloom.llm.leakage.HELD_WORDS", 100)
     monkeypatch.setattr("readloom.llm.leakage.PIECE_WORDS", 12)  # passages in pieces too
     monkeypatch.setattr("readloom.llm.leakage.SHARD_WORDS", 1000)
     docs, items = leak_case()
@@ -138,6 +139,27 @@ def test_leaks_in_blocks_of_items_and_long_texts(spark, monkeypatch):
     assert leaks(d.limit(0), i).collect() == [] and leaks(d, i.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("held", [10, 10**6])
+def test_a_shard_is_indexed_once_for_all_blocks(tmp_path, monkeypatch, held):
+    """Many blocks of passages, whether they are kept or read anew."""
+    docs, items = leak_case()
+    docs, items = [d for d in docs if d[0] is not None], [i for i in items if i[0] is not None]
+    batch = lambda rows, names: pa.RecordBatch.from_pydict({n: pa.array(c) for n, c in zip(names, zip(*rows))})
+    pieces = pa.Table.from_batches(list(leakage._pieces(iter([batch(items, ["item_id", "item_text"])]))))
+    pq.write_table(pieces, tmp_path / "part-0.parquet")
+    built, searched, build = [], [], leakage.FMIndex.__init__
+    monkeypatch.setattr(leakage.FMIndex, "__init__", lambda self, *a: (built.append(1), build(self, *a))[1])
+    monkeypatch.setattr(leakage, "BLOCK_PIECES", 1)
+    monkeypatch.setattr(leakage, "HELD_WORDS", held)
+    monkeypatch.setattr(leakage, "SHARD_WORDS", 700)
+    blocks = leakage.Passages.blocks
+    monkeypatch.setattr(leakage.Passages, "blocks", lambda self: (searched.append(1) or b for b in blocks(self)))
+    found = list(leakage._find(iter([batch(docs[:60], ["doc_id", "text"]), batch(docs[60:], ["doc_id", "text"])]), str(tmp_path)))
+    assert len(built) > 3 and len(pieces) >= 20 and len(searched) == len(pieces) * len(built)
+    got = {(r["doc_id"], r["item_id"]) for b in found for r in b.to_pylist()}
+    assert got == {(a, b) for a, x in docs for b, y in items if runs(x) & runs(y)}
+
+
 def plain_statistics(text, common):
     """The definitions, in plain Python."""
     text = text or ""
