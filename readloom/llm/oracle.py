@@ -40,6 +40,10 @@ _STATS = f"""
                  coalesce(n_closed::DOUBLE / nullif(n_lines, 0), 0) AS closed_share,
                  coalesce(n_common::DOUBLE / nullif(n_words, 0), 0) AS common_share FROM n)"""
 
+#: How many of the four stated marks of junk a text bears.
+_MARKS = """((common_share < 0.15)::INT + (closed_share < 0.4)::INT + (symbol_ratio > 0.25)::INT
+        + (mean_word_length < 2.5 OR mean_word_length > 9)::INT)"""
+
 ORACLE = {
     "p1_found": f"""
         WITH v AS (SELECT DISTINCT sample_name, {_BARCODE} AS b FROM parsed WHERE {_BARCODE} IS NOT NULL)
@@ -75,7 +79,7 @@ ORACLE = {
              s AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id, item_id ORDER BY pos) AS span FROM n)
         SELECT doc_id, item_id, min(pos) AS start_word, max(pos) + 9 AS end_word FROM s GROUP BY doc_id, item_id, span""",
     "p9_statistics": f"WITH {_STATS} SELECT * FROM s",
-    "p9_found": f"""
-        WITH {_STATS} SELECT doc_id FROM s WHERE n_visible > 0 AND (common_share < 0.15)::INT + (closed_share < 0.4)::INT
-        + (symbol_ratio > 0.25)::INT + (mean_word_length < 2.5 OR mean_word_length > 9)::INT >= 2""",
+    "p9_found": f"WITH {_STATS} SELECT doc_id FROM s WHERE n_visible > 0 AND {_MARKS} >= 2",
+    "p9_verdicts": f"""
+        WITH {_STATS} SELECT doc_id, CASE WHEN n_visible = 0 THEN 'blank' WHEN {_MARKS} >= 2 THEN 'junk' ELSE 'prose' END AS verdict FROM s""",
 }

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from readloom.llm.fm_index import FMIndex, WaveletMatrix, suffix_array
 from readloom.llm import leakage
 from readloom.llm.leakage import RUN, leaked_spans, leaks, words
-from readloom.llm.quality import FEATURES, defects, judged, junk, learn_rules, text_statistics, unrefuted
+from readloom.llm.quality import FEATURES, defects, judged, junk, learn_rules, text_statistics
 from readloom.llm.queries import ranks_path
 from readloom.llm.rules import Test as RuleTest
-from readloom.llm.rules import covered, induce, to_sql
+from readloom.llm.rules import covered, induce, simplest, to_sql
 from readloom.llm.tokenizing import PATTERN, load_ranks, merge_word, token_ids
 from readloom.llm.transducer import Lexicon
 
@@ -200,25 +200,31 @@ def test_junk_and_held_out_accuracy(spark):
     want = {r[0] for r in stats.filter((defects() >= 2) & (F.col("n_visible") > 0)).select("doc_id").collect()}
     got = [r[0] for r in junk(docs, common).collect()]
     assert len(got) == len(want) and set(got) == want and want
-    # rules learned on one table judge the rows of another
-    rules = learn_rules(stats.filter("n_visible > 0"), defects() == 0)
-    other = text_statistics(spark.read.parquet(f"{large}/documents.parquet"), common).filter("n_visible > 0")
-    rows = other.select(F.expr(to_sql(rules, FEATURES, "prose", "suspect")).alias("v"), defects().alias("marks")).collect()
-    assert sum((r["v"] == "prose") != (r["marks"] == 0) for r in rows) <= 0.02 * len(rows)
-    assert not [r for r in rows if r["v"] == "prose" and r["marks"] >= 2]
-
-
-def test_junk_is_complete_with_rules_of_few_rows(spark):
+    assert {r[0] for r in judged(docs, common).filter("verdict = 'junk'").select("doc_id").collect()} == want  # the list alone
+    # rules learned on one table judge the rows of another, and those of one half the other half
+    other = text_statistics(spark.read.parquet(f"{large}/documents.parquet"), common).filter("n_visible > 0").cache()
+    half = F.pmod(F.hash("doc_id"), F.lit(2)) == 0
+    cases = ((stats.filter("n_visible > 0"), other, 0.9, 0.9), (other.filter(half), other.filter(~half), 0.98, 0.9))
+    for learned, judged_rows, least_recall, least_precision in cases:
+        case = to_sql(learn_rules(learned, defects() >= 2), FEATURES, "junk", "prose")
+        verdicts = judged_rows.select((F.expr(case) == "junk").alias("v"), (defects() >= 2).alias("y"))
+        n = {(r["v"], r["y"]): r["count"] for r in verdicts.groupBy("v", "y").count().collect()}
+        found, missed, false = n[True, True], n.get((False, True), 0), n.get((True, False), 0)
+        assert found / (found + missed) >= least_recall and found / (found + false) >= least_precision, (case, n)
+    other.unpersist()
+
+
+def test_the_list_decides(spark):
+    """With rules of few rows the result is that of the list, less what the check clears, not that of the marks."""
     small = "/root/testdata/sf0.01"
     common = spark.read.parquet(f"{small}/common_words.parquet")
     docs = spark.read.parquet(f"{small}/documents.parquet")
-    stats = text_statistics(docs, common).filter("n_visible > 0")
-    want = {r[0] for r in stats.filter(defects() >= 2).select("doc_id").collect()}
-    assert {r[0] for r in junk(docs, common, labelled=15).collect()} == want
-    # a rule for all rows is refuted, one for none isn't
-    everything, nothing = [RuleTest(0, True, -1.0)], [RuleTest(0, True, 2.0)]
-    assert unrefuted(stats, [everything, nothing], defects() >= 2) == [nothing]
-    assert unrefuted(stats.limit(0), [everything], defects() >= 2) == [everything] and unrefuted(stats, [], defects() >= 2) == []
+    rows = judged(docs, common, labelled=6).withColumn("marks", defects()).collect()
+    listed = {r["doc_id"] for r in rows if r["verdict"] == "junk" and r["marks"] >= 2}
+    assert {r[0] for r in junk(docs, common, labelled=6).collect()} == listed
+    assert all((r["verdict"] == "blank") == (r["n_visible"] == 0) for r in rows)
+    nothing = docs.withColumn("text", F.lit("The cat saw the dog. It ran."))  # nothing to learn from
+    assert junk(nothing, common).collect() == [] and judged(nothing, common).filter("verdict <> 'prose'").count() == 0
 
 
 def test_judging_odd_tables(spark):
@@ -226,7 +232,7 @@ def test_judging_odd_tables(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (3, " \n"), (4, "||| ###"), (5, "The cat saw the dog.")], "doc_id long, text string")
     assert [r["doc_id"] for r in junk(docs, common).collect()] == [4]
     assert {r["doc_id"]: r["verdict"] for r in judged(docs, common).collect()}[5] == "prose"
-    assert junk(docs.limit(0), common).collect() == [] and judged(docs.limit(3), common).filter("verdict = 'prose'").count() == 0
+    assert junk(docs.limit(0), common).collect() == [] and judged(docs.limit(3), common).filter("verdict <> 'blank'").count() == 0
 
 
 def test_rules_cover_the_true_class_only():
@@ -237,11 +243,31 @@ def test_rules_cover_the_true_class_only():
     hit = np.zeros(len(y), bool)
     for rule in rules:
         hit |= covered(rule, x)
-    assert not (hit & ~y).any() and hit.sum() > 0.97 * y.sum()
+    assert (hit == y).all()
     fresh = rng.random((3000, 4))
     true = ((fresh[:, 0] > 0.3) & (fresh[:, 1] < 0.8)) | (fresh[:, 2] > 0.9)
     seen = np.zeros(len(true), bool)
     for rule in rules:
         seen |= covered(rule, fresh)
-    assert (seen == true).mean() > 0.97
+    assert (seen == true).mean() > 0.99
     assert induce(np.zeros((0, 2)), np.zeros(0, bool)) == [] and to_sql([], [], "a", "b") == "'b'"
+    assert induce(x, np.zeros(3000, bool)) == [] and induce(x, np.ones(3000, bool)) == [[]]
+
+
+def test_rules_of_awkward_rows():
+    """No single test tells the classes of a chessboard apart; equal rows of both classes can't be told apart at all."""
+    x = np.array([[i % 2, j % 2] for i in range(8) for j in range(8)], float)
+    y = x[:, 0] == x[:, 1]
+    rules = induce(x, y)
+    assert (np.any([covered(r, x) for r in rules], axis=0) == y).all()
+    assert induce(np.zeros((4, 1)), np.array([True, False, True, False])) == []
+    assert [covered([RuleTest(0, s, 0.0)], np.array([[-1.0], [0.0], [1.0]])).sum() for s in ("<", "<=", ">", ">=")] == [1, 2, 1, 2]
+    assert to_sql([[RuleTest(0, "<", 0.15)], []], ["a"], "y", "n") == "CASE WHEN a < 0.15D THEN 'y' WHEN true THEN 'y' ELSE 'n' END"
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.floats(-1e6, 1e6), st.floats(-1e6, 1e6))
+def test_simplest_lies_between(a, b):
+    low, high = sorted((a, b))
+    assert low <= simplest(low, high) <= high
+    assert simplest(0.1483, 0.1533) == 0.15 and simplest(8.7, 9.4) == 9 and simplest(2.41, 2.62) == 2.5 and simplest(0.4, 0.4) == 0.4
