@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,10 +21,10 @@ from .transducer import Lexicon
 LEXICON_WORDS = 32_768
 #: Longer words (in bytes) are left to the merges: they are rare, and would only make the automaton long.
 LONGEST = 48
-#: Word counts, and words' ids, that a task holds at most.
+#: Word counts, and ids of words outside the lexicon, that a task holds at most.
 HELD = 200_000
-#: A task's output batch ends once it holds so many ids.
-BATCH_IDS = 1_000_000
+#: Letters of texts, about, whose words are coded together.
+CHUNK = 2_000_000
 
 #: How the vocabulary's text is split before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -67,21 +67,36 @@ def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def _split(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[int], pa.DictionaryArray]]:
+    """Rows with the numbers of their texts' words and these words, coded; rows of some CHUNK letters at a time."""
+    split = regex.compile(PATTERN).findall
+    for batch in batches:
+        words, counts, size, begin = [], [], 0, 0
+        for i, text in enumerate(batch.column(column).to_pylist(), 1):
+            own = split(text) if text else []
+            words += own
+            counts.append(len(own))
+            size += len(text or "")
+            if size >= CHUNK or i == batch.num_rows:
+                yield batch.slice(begin, i - begin), counts, pa.array(words, pa.string()).dictionary_encode()
+                words, counts, size, begin = [], [], 0, i
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of the words of a partition, handed on whenever many are held."""
-    split = regex.compile(PATTERN).findall
 
     def rows() -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict({"word": pa.array(held.keys(), pa.string()), "n": pa.array(held.values(), pa.int64())})
 
     held: Counter[str] = Counter()
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            if text:
-                held.update(w for w in split(text) if len(w) <= LONGEST)
-                if len(held) > HELD:
-                    yield rows()
-                    held.clear()
+    for _, _, coded in _split(batches, 0):
+        counts = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary)).tolist()
+        for word, n in zip(coded.dictionary.to_pylist(), counts):
+            if len(word) <= LONGEST:
+                held[word] += n
+        if len(held) > HELD:
+            yield rows()
+            held.clear()
     if held:
         yield rows()
 
@@ -102,28 +117,49 @@ def frequent_words(texts: DataFrame, words: int = LEXICON_WORDS) -> list[str]:
     return [] if least is None else [r["word"] for r in totals.filter(place >= least).select("word").collect()]
 
 
-def _encoder(ranks_path: str, lexicon_key: str) -> Callable[[str], list[int]]:
-    """A task's function from text to ids."""
-    ranks, lexicon = load_ranks(ranks_path), Lexicon.open(local_file(lexicon_key))
-    split, held = regex.compile(PATTERN).findall, {}
-
-    def encode(text: str) -> list[int]:
-        out: list[int] = []
-        for word in split(text):
-            ids = held.get(word)
-            if ids is None:
-                raw = word.encode("utf-8", "replace")
-                ids = lexicon.find(raw) if len(raw) <= LONGEST else None
-                if ids is None:
-                    ids = merge_word(raw, ranks)
-                if len(held) >= HELD:
-                    held.clear()
-                if len(raw) <= LONGEST:
-                    held[word] = ids
-            out.extend(ids)
-        return out
-
-    return encode
+class _Encoder:
+    """A task's ids of words: the lexicon's, else those of exact merges, of which some are kept."""
+
+    def __init__(self, ranks_key: str, lexicon_key: str):
+        self.ranks, self.lexicon = load_ranks(local_file(ranks_key)), Lexicon.open(local_file(lexicon_key))
+        self.merged: dict[str, list[int]] = {}
+
+    def _merge(self, word: str) -> list[int]:
+        ids = self.merged.get(word)
+        if ids is None:
+            ids = merge_word(word.encode(), self.ranks)
+            if len(self.merged) >= HELD:
+                self.merged.clear()
+            if len(word) <= LONGEST:
+                self.merged[word] = ids
+        return ids
+
+    def ids_of(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A pool of ids and, for each word, where its own begin there and how many they are."""
+        numbers, start = self.lexicon.numbers(words), self.lexicon.start
+        unseen = np.flatnonzero(numbers < 0)
+        known = np.maximum(numbers, 0)
+        begin = start[known].astype(np.int64)
+        length = start[np.minimum(known + 1, len(start) - 1)] - begin
+        own = [self._merge(w) for w in words.take(pa.array(unseen)).to_pylist()]
+        length[unseen] = [len(ids) for ids in own]
+        begin[unseen] = len(self.lexicon.ids) + np.cumsum(length[unseen]) - length[unseen]
+        flat = np.fromiter((i for ids in own for i in ids), np.int32, int(length[unseen].sum()))
+        return np.concatenate([self.lexicon.ids, flat]), begin, length
+
+
+def _encode(batches: Iterator[pa.RecordBatch], ranks_key: str, lexicon_key: str) -> Iterator[pa.RecordBatch]:
+    """`doc_id` and `ids` of rows (doc_id, text). A chunk's distinct words are looked up together, once each."""
+    encoder = _Encoder(ranks_key, lexicon_key)
+    for rows, counts, coded in _split(batches, 1):
+        pool, begin, length = encoder.ids_of(coded.dictionary)
+        word = coded.indices.to_numpy()
+        n = length[word]
+        ends = np.append(0, np.cumsum(n))  # of the ids of the words up to each
+        flat = pool[np.repeat(begin[word] - ends[:-1], n) + np.arange(ends[-1])]
+        offsets = ends[np.append(0, np.cumsum(counts, dtype=np.int64))].astype(np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+        yield pa.RecordBatch.from_arrays([rows.column(0), ids], ["doc_id", "ids"])
 
 
 def token_ids(documents: DataFrame, ranks_path: str, words: int = LEXICON_WORDS) -> DataFrame:
@@ -138,28 +174,7 @@ def token_ids(documents: DataFrame, ranks_path: str, words: int = LEXICON_WORDS)
     texts = spread(documents.select("doc_id", "text"))
     ranks = load_ranks(ranks_path)
     lexicon = Lexicon.build({(raw := w.encode()): merge_word(raw, ranks) for w in frequent_words(texts, words)})
-    key = put_file(spark, "lexicon.bin", lexicon.to_bytes())
-
-    def encode_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(ranks_path, key)
-
-        def rows() -> pa.RecordBatch:
-            offsets = np.concatenate([[0], np.cumsum([len(i) for i in lists], dtype=np.int64)]).astype(np.int32)
-            flat = np.fromiter((i for ids in lists for i in ids), np.int32, int(offsets[-1]))
-            return pa.RecordBatch.from_pydict(
-                {"doc_id": pa.array(doc_ids, pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))}
-            )
-
-        for batch in batches:
-            doc_ids, lists, held = [], [], 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                doc_ids.append(doc_id)
-                lists.append(encode(text) if text else [])
-                held += len(lists[-1])
-                if held >= BATCH_IDS:
-                    yield rows()
-                    doc_ids, lists, held = [], [], 0
-            if doc_ids:
-                yield rows()
-
-    return texts.mapInArrow(encode_all, "doc_id long, ids array<int>")
+    with open(ranks_path, "rb") as f:
+        ranks_key = put_file(spark, "ranks", f.read())
+    lexicon_key = put_file(spark, "lexicon.bin", lexicon.to_bytes())
+    return texts.mapInArrow(lambda batches: _encode(batches, ranks_key, lexicon_key), "doc_id long, ids array<int>")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 
 class Lexicon:
@@ -17,6 +18,8 @@ class Lexicon:
     def __init__(self, arrays: dict[str, np.ndarray]):
         self.arrays = arrays
         self.first, self.label, self.target, self.skip, self.final, self.start, self.ids = (arrays[p] for p in self.PARTS)
+        n_arcs = np.diff(self.first[:-1])  # the last entry is the root
+        self.arcs = np.repeat(np.arange(len(n_arcs), dtype=np.int64), n_arcs) * 256 + self.label  # rising: (state, byte)
 
     @classmethod
     def build(cls, words: dict[bytes, list[int]]) -> Lexicon:
@@ -71,19 +74,29 @@ class Lexicon:
             }
         )
 
-    def find(self, word: bytes) -> list[int] | None:
+    def numbers(self, words: pa.StringArray) -> np.ndarray:
+        """Each word's number, or -1 for a word that isn't there. All words walk along the automaton together, byte by byte."""
+        _, offsets, data = words.buffers()
+        bounds = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+        text = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+        at, end = bounds[:-1], bounds[1:]
+        state, number = np.full(len(words), int(self.first[-1]), np.int64), np.zeros(len(words), np.int64)
+        walking, step = np.flatnonzero(at < end), 0
+        while len(walking):
+            key = state[walking] * 256 + text[at[walking] + step]
+            arc = np.searchsorted(self.arcs, key)
+            found = self.arcs[np.minimum(arc, len(self.arcs) - 1)] == key if len(self.arcs) else np.zeros(len(key), bool)
+            state[walking[~found]] = -1
+            walking, arc, step = walking[found], arc[found], step + 1
+            state[walking], number[walking] = self.target[arc], number[walking] + self.skip[arc]
+            walking = walking[at[walking] + step < end[walking]]
+        accepted = (state >= 0) & (self.final[np.maximum(state, 0)] == 1)
+        return np.where(accepted, number, -1)
+
+    def find(self, word: str) -> list[int] | None:
         """The word's ids, or None for a word that isn't there."""
-        state, number = int(self.first[-1]), 0
-        for byte in word:
-            low, high = int(self.first[state]), int(self.first[state + 1])
-            at = low + int(np.searchsorted(self.label[low:high], byte))
-            if at == high or self.label[at] != byte:
-                return None
-            number += int(self.skip[at])
-            state = int(self.target[at])
-        if not self.final[state]:
-            return None
-        return self.ids[self.start[number] : self.start[number + 1]].tolist()
+        n = int(self.numbers(pa.array([word], pa.string()))[0])
+        return None if n < 0 else self.ids[self.start[n] : self.start[n + 1]].tolist()
 
     def to_bytes(self) -> bytes:
         """A header of part lengths, then the parts, each at a multiple of eight bytes."""

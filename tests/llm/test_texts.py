@@ -40,12 +40,14 @@ def test_lexicon_holds_its_words_and_no_others(tmp_path):
     lexicon = Lexicon.build(held)
     (tmp_path / "x.bin").write_bytes(lexicon.to_bytes())
     for own in (lexicon, Lexicon.open(str(tmp_path / "x.bin"))):
-        assert all(own.find(w) == ids for w, ids in held.items())
+        assert all(own.find(w.decode()) == ids for w, ids in held.items())
         others = {"".join(rng.choice("abcé ") for _ in range(rng.randrange(0, 8))).encode() for _ in range(900)} - set(held)
-        assert all(own.find(w) is None for w in others)
+        assert all(own.find(w.decode()) is None for w in others)
+        some = pa.array([w.decode() for w in [*sorted(held), *others]], pa.string())
+        assert own.numbers(some).tolist() == [*range(len(held)), *[-1] * len(others)] and own.numbers(some[3:5]).tolist() == [3, 4]
     shared = Lexicon.build({f"{a}{b}ing".encode(): [1] for a in "abcdefgh" for b in "abcdefgh"})
     assert len(shared.arrays["final"]) == 6  # one state for all second letters, one path for the common ending
-    assert Lexicon.build({}).find(b"") is None
+    assert Lexicon.build({}).find("") is None and Lexicon.build({}).find("a") is None
 
 
 @settings(max_examples=200, deadline=None)
