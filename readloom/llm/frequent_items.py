@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 COUNTERS = 1000
 #: Summaries merged in one task.
 FAN_IN = 64
-#: Merging steps before the last one: with FAN_IN^3 = 262,144 partitions the last one still gets no more than FAN_IN summaries.
+#: Merging steps before the last one where the number of partitions isn't known: with FAN_IN^3 = 262,144 partitions the last one
+#: still gets no more than FAN_IN summaries.
 STEPS = 2
 
 SCHEMA = "field_name string, part long, item_value string, low long, lost long, weight long"
@@ -77,7 +78,15 @@ def merge(summaries: pd.DataFrame, counters: int, fan_in: int = FAN_IN) -> pd.Da
     )
 
 
-def frequent_items(rows: DataFrame, counters: int = COUNTERS, fan_in: int = FAN_IN) -> DataFrame:
+def merging_steps(partitions: int, fan_in: int = FAN_IN) -> int:
+    """Steps after which so many partitions have left no more than `fan_in` summaries."""
+    steps = 0
+    while partitions > fan_in:
+        partitions, steps = -(-partitions // fan_in), steps + 1
+    return steps
+
+
+def frequent_items(rows: DataFrame, counters: int = COUNTERS, fan_in: int = FAN_IN, steps: int = STEPS) -> DataFrame:
     """Summary of rows (`field_name`, `item_value`): per field at most `counters` items with `low` <= true count <=
     `low + lost`, and `weight`, the number of non-null values. Every item with more than weight / (counters + 1)
     occurrences is there.
@@ -88,7 +97,7 @@ def frequent_items(rows: DataFrame, counters: int = COUNTERS, fan_in: int = FAN_
     """
     tagged = rows.select("field_name", "item_value", F.spark_partition_id().cast("long").alias("part")).dropna()
     some = tagged.mapInArrow(lambda batches: summarise(batches, counters), SCHEMA)
-    for _ in range(STEPS):
+    for _ in range(steps):
         bundles = some.groupBy("field_name", F.floor(F.col("part") / fan_in).alias("bundle"))
         some = bundles.applyInPandas(lambda p: merge(p, counters, fan_in), SCHEMA)
     whole = some.groupBy("field_name").applyInPandas(lambda p: merge(p, counters), SCHEMA)
