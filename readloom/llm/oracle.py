@@ -40,6 +40,13 @@ _STATS = f"""
                  coalesce(n_closed::DOUBLE / nullif(n_lines, 0), 0) AS closed_share,
                  coalesce(n_common::DOUBLE / nullif(n_words, 0), 0) AS common_share FROM n)"""
 
+_SHARED = f"""
+    v AS (SELECT DISTINCT sample_name AS s, {_BARCODE} AS b FROM barcode_x_sample_counts WHERE total_count > 0 AND {_BARCODE} IS NOT NULL),
+    n AS (SELECT s, count(*) AS n FROM v GROUP BY s),
+    p AS (SELECT x.s, y.s AS t, count(*) AS c FROM v x JOIN v y ON x.b = y.b AND x.s < y.s GROUP BY ALL),
+    shared AS (SELECT a.s AS sample_a, b.s AS sample_b, coalesce(c, 0) AS n_shared, a.n AS n_a, b.n AS n_b
+               FROM n a JOIN n b ON a.s < b.s LEFT JOIN p ON p.s = a.s AND p.t = b.s)"""
+
 #: How many of the four stated marks of junk a text bears.
 _MARKS = """((common_share < 0.15)::INT + (closed_share < 0.4)::INT + (symbol_ratio > 0.25)::INT
         + (mean_word_length < 2.5 OR mean_word_length > 9)::INT)"""
@@ -51,18 +58,20 @@ ORACLE = {
         ON x.sample_name = y.sample_name AND x.b < y.b AND abs(length(x.b) - length(y.b)) <= 2
         WHERE levenshtein(x.b, y.b) <= 2""",
     "p2_found": f"WITH {_FIELD_READS} SELECT field_name, item_value FROM c WHERE n * 100 >= total",
+    "p2_bounds": f"WITH {_FIELD_READS} SELECT field_name, item_value, n AS n_reads, true AS within_bounds FROM c WHERE n * 500 >= total",
     "p3_found": f"""
         WITH {_TERMS} SELECT field_name, item_value, unnest(list_filter([m1, m2], lambda x: x IS NOT NULL)) AS mark FROM m""",
     "p3_terms": f"""
         WITH {_TERMS} SELECT field_name, item_value, n_reads, n_samples, concat_ws(',', m1, m2) AS marks FROM m""",
-    "p4_found": f"""
-        WITH v AS (SELECT DISTINCT sample_name AS s, {_BARCODE} AS b FROM barcode_x_sample_counts
-                   WHERE total_count > 0 AND {_BARCODE} IS NOT NULL),
-             n AS (SELECT s, count(*) AS n FROM v GROUP BY s),
-             p AS (SELECT x.s AS sample_a, y.s AS sample_b, count(*) AS shared
-                   FROM v x JOIN v y ON x.b = y.b AND x.s < y.s GROUP BY ALL)
-        SELECT sample_a, sample_b FROM p JOIN n a ON a.s = sample_a JOIN n b ON b.s = sample_b
-        WHERE shared * 10 >= 3 * least(a.n, b.n)""",
+    "p4_found": f"WITH {_SHARED} SELECT sample_a, sample_b FROM shared WHERE n_shared * 10 >= 3 * least(n_a, n_b)",
+    "p4_found_by_small_sketches": f"WITH {_SHARED} SELECT sample_a, sample_b FROM shared WHERE n_shared * 10 >= 3 * least(n_a, n_b)",
+    "p4_bounds": f"WITH {_SHARED} SELECT sample_a, sample_b, n_shared, true AS within_bounds FROM shared",
+    "p5_bounds": f"""
+        WITH r AS (SELECT run_day, sample_name, lane_no, {_BARCODE} AS barcode, {_UMI} AS combined_umi FROM parsed),
+             g AS (SELECT CAST(grouping(run_day, sample_name, lane_no) AS BIGINT) AS grouping_id, run_day, sample_name, lane_no,
+                          count(DISTINCT barcode) AS barcode, count(DISTINCT combined_umi) AS combined_umi
+                   FROM r GROUP BY CUBE (run_day, sample_name, lane_no))
+        SELECT *, true AS within_bounds FROM (UNPIVOT g ON barcode, combined_umi INTO NAME field_name VALUE n_exact)""",
     "p8_found": """
         WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
              i AS (SELECT item_id, regexp_extract_all(lower(item_text), '[\\p{L}\\p{N}]+') AS w FROM eval_items),

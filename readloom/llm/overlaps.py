@@ -18,8 +18,8 @@ K = 4096
 GATHERED, HELD = 1 << 19, 1 << 22
 #: Partitions whose sketches of a set are merged in one step.
 FAN_IN = 64
-#: Sketches in a block: one task of the pairing holds two blocks.
-BLOCK = 64
+#: Sketches in a block: one task of the pairing holds two blocks, of at most 8 MB each.
+BLOCK = 256
 
 SKETCHES = "set_id string, part long, hashes array<long>"
 
@@ -105,42 +105,74 @@ def set_size(hashes: np.ndarray, k: int) -> float:
     return float(len(hashes)) if len(hashes) < k else (k - 1) / float(_unit(hashes[k - 1]))
 
 
-def pair_overlap(a: np.ndarray, b: np.ndarray, k: int) -> tuple[float, float, float, int]:
-    """Estimated union, shared items and the latter's standard error, of two ascending sketches, and of how many hashes."""
-    both = np.union1d(a, b)
-    full = len(both) >= k and (len(a) >= k or len(b) >= k)
-    low = both[:k] if full else both
-    common = np.intersect1d(np.intersect1d(a, low, assume_unique=True), b, assume_unique=True)
-    union = (len(low) - 1) / float(_unit(low[-1])) if full else float(len(low))
-    share = len(common) / max(1, len(low))
-    spread = np.sqrt(max(share, 1 / len(low)) * (1 - min(share, 1 - 1 / max(2, len(low)))) / len(low)) if full else 0.0
-    return union, union * share, union * float(spread), len(low)
-
-
 PAIRS = (
     "set_a string, set_b string, size_a double, size_b double, union_size double, shared double, shared_error double, n_hashes long"
 )
 
 
+def common_counts(hashes: list[np.ndarray]) -> np.ndarray:
+    """For each pair of sketches (row < column) their common hashes: all are sorted together, and equal ones stand side by
+    side, so only pairs that share a hash cost anything."""
+    n = len(hashes)
+    both = np.concatenate(hashes) if n else np.zeros(0, np.int64)
+    owner = np.repeat(np.arange(n), [len(h) for h in hashes])
+    order = np.argsort(both, kind="stable")  # equal hashes in the order of their sketches
+    both, owner, found, lag = both[order], owner[order], np.zeros(n * n, np.int64), 1
+    at = np.arange(len(both))  # of those that have an equal one `lag` places on
+    while True:
+        at = at[at + lag < len(both)]
+        at = at[both[at] == both[at + lag]]
+        if not len(at):
+            return found.reshape(n, n)
+        found += np.bincount(owner[at] * n + owner[at + lag], minlength=n * n)
+        lag += 1
+
+
+def overlaps(hashes: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each pair of ascending sketches (row < column): the estimated union, shared items and the latter's standard error,
+    and the hashes these rest on.
+
+    Two sketches are merged up to the hash where the first full one of them ends: below it all hashes of the union are known,
+    k of them at least. Their number and the last one's place give the union's size, the common ones among them the shared
+    fraction. Without a full one all is exact."""
+    n = len(hashes)
+    common = common_counts(hashes).astype(float)
+    size = np.array([len(h) for h in hashes])
+    end = np.array([h[k - 1] if len(h) >= k else np.iinfo(np.int64).max for h in hashes], np.int64)
+    below = np.array([np.searchsorted(h, end, "right") for h in hashes]).reshape(n, n)  # of row's hashes, up to column's end
+    first = end[:, None] <= end[None, :]  # row's end comes first
+    own, other = np.where(first, size[:, None], below), np.where(first, below.T, size[None, :])
+    merged = own + other - common
+    full = (size[:, None] >= k) | (size[None, :] >= k)
+    until = _unit(np.minimum(end[:, None], end[None, :]))
+    union = np.where(full, (merged - 1) / until, merged)
+    share = common / np.maximum(merged, 1)
+    least = 1 / np.maximum(merged, 2)
+    spread = np.sqrt(np.maximum(share, least) * (1 - np.minimum(share, 1 - least / 2)) / np.maximum(merged, 1))
+    return union, union * share, np.where(full, union * spread, 0.0), merged.astype(np.int64)
+
+
 def _pairs_of_blocks(group: pd.DataFrame, k: int) -> pd.DataFrame:
     """All pairs of two blocks of sketches, or within one."""
-    x, y = int(group["x"].iloc[0]), int(group["y"].iloc[0])
-    own = [(r.set_id, np.asarray(r.hashes, np.int64), r.block) for r in group.sort_values("set_id").itertuples()]
-    sizes = {s: set_size(h, k) for s, h, _ in own}
-    out = []
-    for i, (s, hs, bs) in enumerate(own):
-        for t, ht, bt in own[i + 1 :]:
-            if x == y or bs != bt:
-                (a, ha), (b, hb) = sorted([(s, hs), (t, ht)], key=lambda p: p[0].encode())
-                out.append((a, b, sizes[a], sizes[b], *pair_overlap(ha, hb, k)))
-    return pd.DataFrame(out, columns=[c.split()[0] for c in PAIRS.split(", ")])
-
-
-def estimated_overlaps(sets: DataFrame, k: int = K) -> DataFrame:
+    own = group.iloc[np.argsort([s.encode() for s in group["set_id"]])]
+    hashes = [np.asarray(h, np.int64) for h in own["hashes"]]
+    names, block = own["set_id"].to_numpy(object), own["block"].to_numpy()
+    sizes = np.array([set_size(h, k) for h in hashes])
+    a, b = np.triu_indices(len(hashes), 1)
+    wanted = (block[a] != block[b]) | (group["x"].iloc[0] == group["y"].iloc[0])
+    a, b = a[wanted], b[wanted]
+    columns = [names[a], names[b], sizes[a], sizes[b], *[m[a, b] for m in overlaps(hashes, k)]]
+    return pd.DataFrame(dict(zip([c.split()[0] for c in PAIRS.split(", ")], columns)))
+
+
+def estimated_overlaps(sets: DataFrame, k: int = K, block: int = BLOCK) -> DataFrame:
     """For each pair of sets (`set_a` < `set_b` in byte order) the estimated sizes, union and shared items with its
-    standard error, and the hashes they rest on (`n_hashes`). The sketches, of at most k hashes, are paired in blocks; no set's items are joined."""
-    all_sketches = sketches(sets, k)
-    n_blocks = max(1, -(-sets.select("set_id").distinct().count() // BLOCK))
+    standard error, and the hashes they rest on (`n_hashes`).
+
+    No set's items are joined: sketches, of at most k hashes, are paired in blocks, so what is shuffled is a sketch for every
+    `block` sets, however many hashes two sets have in common. Joined by their hashes, sets alike would give up to k rows a pair."""
+    all_sketches = cut(sketches(sets, k))
+    n_blocks = max(1, -(-all_sketches.count() // block))
     others = F.sequence(F.lit(0), F.lit(n_blocks - 1))
     placed = all_sketches.withColumn("block", F.pmod(F.xxhash64("set_id"), F.lit(n_blocks)).cast("int"))
     paired = (
@@ -151,18 +183,40 @@ def estimated_overlaps(sets: DataFrame, k: int = K) -> DataFrame:
     return paired.groupBy("x", "y").applyInPandas(lambda g: _pairs_of_blocks(g, k), PAIRS)
 
 
-def may_share(part: float) -> Column:
-    """Whether a pair's estimate allows that it shares `part` of its smaller set, with five standard errors (and three of
-    the sizes'). The error is that of a pair which shares just so much: the estimate's own shrinks where chance leaves few
-    common hashes, so pairs of very unequal sets, of which few are expected, would be lost."""
-    least = F.least(F.lit(1.0), F.lit(part * 0.95) * F.least("size_a", "size_b") / F.col("union_size"))
-    return F.col("shared") / F.col("union_size") >= least - 5 * F.sqrt(least * (1 - least) / F.col("n_hashes"))
+def share_of_smaller(part: float, k: int = K) -> Column:
+    """What a pair's estimate says of whether it shares `part` of its smaller set: true, false or, within five standard errors
+    of the fraction and of the sizes, NULL. Pairs of sets smaller than k are known exactly.
+
+    The fraction's error is that of a pair which shares just so much: the estimate's own shrinks where chance leaves few common
+    hashes, so pairs of very unequal sets, of which few are expected, would be lost."""
+    least, exact, of_size = F.least("size_a", "size_b"), F.col("shared_error") == 0, 5 / k**0.5
+    p = lambda by: F.least(F.lit(1.0), F.lit(part * by) * least / F.col("union_size"))
+    error = lambda q: 5 * F.sqrt(q * (1 - q) / F.col("n_hashes"))
+    share, low, high = F.col("shared") / F.col("union_size"), p(1 - of_size), p(1 + of_size)
+    return (
+        F.when(exact, F.col("shared") >= F.lit(part) * least - 1e-9)
+        .when(share < low - error(low), F.lit(False)).when((share >= high + error(high)) & (high < 1), F.lit(True))
+    )
+
+
+def pairs_sharing(sets: DataFrame, part: float, k: int = K, block: int = BLOCK) -> DataFrame:
+    """Pairs (`set_a`, `set_b`) that share at least `part` of their smaller set's items. The sketches settle all pairs but
+    those near the bound, whose sets alone are counted exactly.
+
+    Null ids and items are ignored, repeated rows count once, an empty table gives no row, extra columns are not read."""
+    near = estimated_overlaps(sets, k, block).withColumn("sure", share_of_smaller(part, k)).select("set_a", "set_b", "sure")
+    near = cut(near.filter(F.coalesce("sure", F.lit(True))))
+    sure, open_ = near.filter("sure").drop("sure"), near.filter("sure is null").drop("sure")
+    if open_.isEmpty():
+        return sure
+    exact = exact_overlaps(sets, open_).filter(F.col("n_shared") >= F.lit(part) * F.least("n_a", "n_b") - 1e-9)
+    return sure.unionByName(exact.select("set_a", "set_b"))
 
 
 def exact_overlaps(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """Adds the exact `n_a`, `n_b` and `n_shared` to given pairs (`set_a`, `set_b`); only their sets' items are joined. The
-    items of a pair's smaller set are looked up in the larger one, so a large set isn't repeated for each small partner."""
-    pairs = cut(pairs)
+    items of a pair's smaller set are looked up in the larger one, so a large set isn't repeated for each small partner. Pairs
+    without a common item are left out; `pairs` is read several times."""
     named = pairs.select(F.col("set_a").alias("set_id")).union(pairs.select("set_b")).distinct()
     items = sets.select("set_id", "item").dropna().join(named, "set_id", "left_semi").distinct()
     sizes = cut(items.groupBy("set_id").agg(F.count(F.lit(1)).alias("n")))

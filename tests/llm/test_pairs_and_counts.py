@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from readloom.llm.distinct_counts import ERROR, RANKS, ROWS, estimate, matrices, merged_counts
 from readloom.llm.frequent_items import frequent_items, reduce_counters
 from readloom.llm.near_duplicates import shift_tuples, similar_pairs
-from readloom.llm.overlaps import estimated_overlaps, exact_overlaps, lowest, pair_overlap, sets_of, sketches
+from readloom.llm import overlaps as overlap_module
+from readloom.llm.overlaps import estimated_overlaps, exact_overlaps, lowest, overlaps, pairs_sharing, sets_of, sketches
 from readloom.llm.queries import QUERIES
 from readloom.llm.term_frequencies import mark, term_frequencies
 
@@ -154,11 +155,55 @@ def test_overlaps_of_small_sets_are_exact(spark):
     got = {(r["set_a"], r["set_b"]): (r["size_a"], r["size_b"], r["union_size"], r["shared"], r["shared_error"]) for r in estimated_overlaps(df).collect()}
     assert got == {("x", "y"): (2, 1, 2, 1, 0), ("x", "z"): (2, 1, 3, 0, 0), ("y", "z"): (1, 1, 2, 0, 0)}
     assert estimated_overlaps(df.limit(0)).collect() == []
-    assert pair_overlap(np.array([1, 2]), np.array([], np.int64), 4)[1] == 0
+    assert overlaps([np.array([1, 2]), np.array([], np.int64)], 4)[1][0, 1] == 0
     cells = spark.createDataFrame([("s", "b", 0), ("s", "c", None), ("s", "d", 2)], "s string, b string, n long")
     assert [tuple(r) for r in sets_of(cells, F.col("s"), F.col("b"), F.col("n") > 0).collect()] == [("s", "d")]
 
 
+def test_merged_sketches_equal_their_definition():
+    """Full and partial sketches, many of them alike: below the first end of a full one the union's hashes are all known."""
+    rng = np.random.default_rng(2)
+    pool = rng.integers(-(2**63), 2**63 - 1, 3000)
+    for k in (8, 64):
+        sets = [np.unique(rng.choice(pool, n, replace=False)) for n in (0, 1, 5, 7, 8, 9, 100, 500, 2000, 2900)] + [pool[:900], pool[:900]]
+        cut = [np.sort(s)[:k] for s in sets]
+        union, shared, error, n_hashes = overlaps(cut, k)
+        for i, j in combinations(range(len(sets)), 2):
+            both = np.union1d(sets[i], sets[j])
+            ends = [c[-1] for c in (cut[i], cut[j]) if len(c) == k]
+            low = both[both <= min(ends)] if ends else both
+            common = np.isin(low, sets[i]) & np.isin(low, sets[j])
+            assert n_hashes[i, j] == len(low)
+            assert abs(shared[i, j] - union[i, j] * common.sum() / max(1, len(low))) < 1e-6
+            assert abs(union[i, j] - len(both)) <= (6 * len(both) / np.sqrt(k) if ends else 0) and (error[i, j] > 0) == bool(ends)
+
+
+def test_blocks_change_nothing(spark):
+    rows = [(f"s{s}", f"i{v}") for s in range(9) for v in range(s * 150, s * 150 + 700)]
+    df = spark.createDataFrame(rows, "set_id string, item string")
+    whole = {tuple(r) for r in estimated_overlaps(df, 64).collect()}
+    assert len(whole) == 36 and {tuple(r) for r in estimated_overlaps(df, 64, block=2).collect()} == whole
+
+
+def test_only_pairs_near_the_bound_are_counted(spark, monkeypatch):
+    """Sets of 50 times the sketch's size: pairs far above the bound are sure, far below they are out, and neither is joined."""
+    shares = {"b": 0.9, "c": 0.6, "d": 0.302, "e": 0.298, "f": 0.1, "g": 0.0}
+    n = 51_200
+    rows = spark.range(n).select(F.lit("a").alias("set_id"), F.concat(F.lit("x"), "id").alias("item"))
+    for name, share in shares.items():
+        own = F.when(F.col("id") < int(n * share), F.concat(F.lit("x"), "id")).otherwise(F.concat(F.lit(name), "id"))
+        rows = rows.unionByName(spark.range(n).select(F.lit(name).alias("set_id"), own.alias("item")))
+    counted, plain = [], overlap_module.exact_overlaps
+    monkeypatch.setattr(overlap_module, "exact_overlaps", lambda s, p: (counted.extend(map(tuple, p.collect())), plain(s, p))[1])
+    wide = {tuple(r) for r in pairs_sharing(rows, 0.3, 1024).collect()}
+    want = {(x, y) for x, y in combinations("abcdefg", 2) if min(shares.get(x, 1), shares.get(y, 1)) >= 0.3}
+    assert wide == want and ("a", "d") in counted and ("a", "e") in counted
+    assert not {("a", "b"), ("b", "c"), ("a", "f"), ("a", "g"), ("f", "g")} & set(counted)
+    counted.clear()
+    assert {tuple(r) for r in pairs_sharing(rows.filter("set_id in ('a', 'b', 'f')"), 0.3, 1024).collect()} == {("a", "b")} and not counted
+    assert pairs_sharing(rows.limit(0), 0.3, 1024).collect() == []
+
+
 def test_sketches_are_cut_before_the_shuffle(spark):
     """With k above Spark's limit of 1,000 for partial ranks; sets above and below k, repeated, in steps of merging."""
     sets = spark.range(0, 60_000, 1, 10).select(F.when(F.col("id") % 20 == 0, "few").otherwise("many").alias("set_id"), F.concat(F.lit("i"), F.col("id") % 30_000).alias("item"))
@@ -276,5 +321,5 @@ def test_queries_on_empty_tables(spark, tmp_path):
     spark.createDataFrame([], PARSED).write.parquet(str(tmp_path / "parsed.parquet"))
     spark.createDataFrame([], "sample_name string, read_idx long, sequence_prefix string").write.parquet(str(tmp_path / "unmatched.parquet"))
     spark.createDataFrame([], "barcode string, sample_name string, total_count long").write.parquet(str(tmp_path / "barcode_x_sample_counts.parquet"))
-    for q in ("p1_found", "p2_found", "p3_found", "p4_found", "p4_overlaps", "p5_distinct"):
+    for q in ("p1_found", "p2_found", "p3_found", "p4_found", "p4_found_by_small_sketches", "p4_overlaps", "p4_bounds", "p5_distinct"):
         assert QUERIES[q](spark, str(tmp_path)).collect() == [], q
