@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import argparse
-import glob
 import logging
 import os
 import sys
@@ -15,7 +14,7 @@ from .design import Design
 from .operators import cluster, extract, index_filter, overlap
 from .plans.session import session
 from .plans.shared import cut, spread
-from .sources import sinks, tables
+from .sources import sinks, storage, tables
 from .sources.discovery import SampleFiles, find_samples, sample_names
 from .sources.fastq import read_samples
 
@@ -73,7 +72,7 @@ def run_map(cells: DataFrame, outdir: str, min_count: int, fraction: float, rela
     """Writes the two matrices, the overlap summary and the histograms. The cutoff is each file's own; files of one sample
     are added up after it, and the sample's histogram is that of its last file."""
     keys = ("sample", "file")
-    os.makedirs(outdir, exist_ok=True)
+    storage.make_folder(outdir)
     usable = overlap.usable_counts(cells, min_count, keys, "position")
     judged = cut(overlap.relative_abundance(usable, fraction, relative_to, keys))
     files = overlap.map_log(judged, keys).orderBy(*keys).collect()  # a row per file
@@ -85,13 +84,11 @@ def run_map(cells: DataFrame, outdir: str, min_count: int, fraction: float, rela
     kept = overlap.pooled(judged)
     summary = overlap.overlap_summary(kept)
     place = overlap.first_places(judged)
-    kept_with = overlap.with_frequency(kept)
+    kept_with = overlap.with_frequency(kept).withColumn("shown", sinks.fixed("freq", 6))
     sizes = summary.select("barcode", "n_samples", "total_count")
     names = [r["sample"] for r in kept.select("sample").distinct().orderBy("sample").collect()]
     counts = overlap.matrix(kept_with, "cnt", names).join(sizes, "barcode")
-    freqs = overlap.matrix(kept_with, "freq", names).join(sizes, "barcode")
-    shown = [F.when(F.col(f"`{n}`").isNotNull(), sinks.fixed(F.col(f"`{n}`"), 6)).alias(n) for n in names]
-    freqs = freqs.select("barcode", *shown, "n_samples", "total_count")
+    freqs = overlap.matrix(kept_with, "shown", names).join(sizes, "barcode")
     _ordered_file(counts, place, os.path.join(outdir, "barcode_x_sample_counts.csv"), ["barcode", *names])
     _ordered_file(freqs, place, os.path.join(outdir, "barcode_x_sample_freq.csv"), ["barcode", *names])
     _ordered_file(summary, place, os.path.join(outdir, "barcode_overlap_summary.csv"), ["barcode", "n_samples", "samples", "total_count"])
@@ -111,6 +108,11 @@ def _ordered_file(df: DataFrame, place: DataFrame, target: str, shown: list[str]
     sinks.one_file(df.join(place, "barcode").select(*columns, *hidden, "position"), target, keys, shown)
 
 
+def _files(folder: str, ending: str) -> list[str]:
+    """Paths of the files in a folder whose names end so, in order."""
+    return [os.path.join(folder, f) for f in storage.names(folder) if f.endswith(ending)]
+
+
 def _parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="readloom", description=__doc__)
     top.add_argument("--master", help="Spark master; leave it to spark-submit on a cluster")
@@ -150,12 +152,12 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "extract":
         run_extract(spark, find_samples(sample_names(args.samples), args.fastq_dir, args.mode), args.outdir, design)
     elif args.command == "filter":
-        paths = sorted(glob.glob(os.path.join(args.parsed_dir, "*.parsed.tsv")))
+        paths = _files(args.parsed_dir, ".parsed.tsv")
         rows, modes = tables.parsed_tables(spark, paths, ".parsed.tsv"), tables.table_modes(paths, ".parsed.tsv")
         run_filter(spark, rows, modes, args.index_map, args.outdir, design)
     elif args.command == "cluster":
         for ending in (".kept.tsv", ".parsed.tsv"):  # counters and tallies that lie beside aren't read
-            paths = sorted(glob.glob(os.path.join(args.input_dir, f"*{ending}")))
+            paths = _files(args.input_dir, ending)
             if paths:
                 break
         else:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Letters of pairs that are compared together.
+PAIR_LETTERS = 1 << 18
+
+
 def rev_comp(s: Column) -> Column:
     """Reverse complement; letters other than ACGTN stay, case is kept."""
     return F.reverse(F.translate(s, "ACGTNacgtn", "TGCANtgcan"))
@@ -54,22 +56,35 @@ def index_matches(observed: Column, expected: Column, chunk_len: int, most: int)
     return F.when(observed == expected, F.lit(True)).otherwise(same)
 
 
-@lru_cache(maxsize=50_000)
-def overlap_distance(a: str, b: str, k: int) -> int | None:
-    """Least Hamming distance between a k-mer of one and a k-mer of the other, whatever the case; None if one is shorter
-    than k. Mismatches along every diagonal are summed over windows of k."""
-    if len(a) < k or len(b) < k:
-        return None
-    x, y = (np.frombuffer(s.upper().encode("utf-32-le"), np.uint32) for s in (a, b))
-    best = k
-    for d in range(k - len(y), len(x) - k + 1):
-        u, v = x[max(d, 0) :], y[max(-d, 0) :]
-        n = min(len(u), len(v))
-        sums = np.concatenate([[0], np.cumsum(u[:n] != v[:n])])
-        best = min(best, int((sums[k:] - sums[:-k]).min()))
-        if best == 0:
-            break
-    return best
+def overlap_distances(first: list[str | None], second: list[str | None], k: int) -> list[int | None]:
+    """For each pair of texts the least Hamming distance between a k-mer of one and a k-mer of the other, whatever the case; None
+    if one is null or shorter than k. Pairs of equal lengths are handled together: mismatches along every diagonal are summed
+    over windows of k."""
+    out: list[int | None] = [None] * len(first)
+    alike: dict[tuple[int, int], list[int]] = {}
+    for i, (a, b) in enumerate(zip(first, second)):
+        if a is not None and b is not None and len(a) >= k and len(b) >= k:
+            alike.setdefault((len(a), len(b)), []).append(i)
+    for (n, m), rows in alike.items():
+        step = max(1, PAIR_LETTERS // (n + m))
+        for own in (rows[i : i + step] for i in range(0, len(rows), step)):
+            x, y = (_letters([side[i] for i in own], width) for side, width in ((first, n), (second, m)))
+            best = np.full(len(own), k, np.int32)
+            for d in range(k - m, n - k + 1):
+                u, v = x[:, max(d, 0) :], y[:, max(-d, 0) :]
+                width = min(u.shape[1], v.shape[1])
+                sums = np.zeros((len(own), width + 1), np.int32)
+                np.cumsum(u[:, :width] != v[:, :width], axis=1, out=sums[:, 1:])
+                np.minimum(best, (sums[:, k:] - sums[:, :-k]).min(axis=1), out=best)
+            for i, distance in zip(own, best.tolist()):
+                out[i] = distance
+    return out
+
+
+def _letters(texts: list[str], width: int) -> np.ndarray:
+    """Upper-cased texts of one length as rows of code points; case is changed where that keeps the length."""
+    same = [u if len(u := t.upper()) == width else t for t in texts]
+    return np.frombuffer("".join(same).encode("utf-32-le"), np.uint32).reshape(len(texts), width)
 
 
 def share_kmer(a: Column, b: Column, k: int) -> Column:
@@ -81,11 +96,11 @@ def share_kmer(a: Column, b: Column, k: int) -> Column:
 
 
 def best_overlap_distance(a: Column, b: Column, k: int) -> Column:
-    """overlap_distance() of columns. Pairs that share a k-mer, nearly all of them, are settled in the JVM; the others go
+    """overlap_distances() of columns. Pairs that share a k-mer, nearly all of them, are settled in the JVM; the others go
     to an Arrow function."""
     @F.pandas_udf("int")
     def kernel(s: pd.Series, t: pd.Series) -> pd.Series:
-        return pd.Series([None if p is None or q is None else overlap_distance(p, q, k) for p, q in zip(s, t)], dtype="Int32")
+        return pd.Series(overlap_distances(s.to_list(), t.to_list(), k), dtype="Int32")
 
     shared = share_kmer(a, b, k)
     # not evaluated again for each use of the result

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..design import Design
 from .motifs import strict_pattern
-from .sequences import complement, overlap_distance
+from .sequences import complement, overlap_distances
 
 PARTS = "struct<idx: string, umi: string, barcode: string, down: string>"
 BOTH = (
@@ -64,13 +64,14 @@ def fuzzy_read(seq1: Column, seq2: Column, design: Design) -> Column:
         nothing = (None,) * len(names)
         for s, t in batches:
             rows = [nothing] * len(s)
-            for i in s.notna().to_numpy().nonzero()[0]:
-                a = one.match(s.iloc[i])
-                b = two.match(t.iloc[i]) if t.iloc[i] is not None else None
+            open_ = s.notna().to_numpy().nonzero()[0].tolist()
+            seen = [(one.match(s.iloc[i]), two.match(t.iloc[i]) if t.iloc[i] is not None else None) for i in open_]
+            both = [(a["down"], complement(b["down"])) if a and b else (None, None) for a, b in seen]
+            apart = overlap_distances([a for a, _ in both], [b for _, b in both], design.overlap_k)
+            for i, (a, b), distance in zip(open_, seen, apart):
                 own = (a["idx"], a["umi"], a["barcode"], a["down"]) if a else (None,) * 4
                 other = (b["idx"], b["umi"], b["down"]) if b else (None,) * 3
-                apart = overlap_distance(a["down"], complement(b["down"]), design.overlap_k) if a and b else None
-                rows[i] = (*own, *other, apart)
+                rows[i] = (*own, *other, distance)
             yield pd.DataFrame(rows, columns=names, dtype=object)
 
     # the optimizer would evaluate a deterministic function once for every column and filter that uses a part

@@ -19,9 +19,21 @@ CHUNK_ROWS = (50_000, 1_000_000)
 BROADCAST_ROWS = 200_000
 
 
-def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+#: Beyond that, rows are joined with the heavy keys by (key, salt), of so many salts: no task gets all rows of a key.
+SALTS = 64
+
+
+def small(df: DataFrame, rows: int, limit: int | None = None) -> DataFrame:
     """df with a broadcast hint if it has no more rows than allowed."""
-    return F.broadcast(df) if rows <= limit else df
+    return F.broadcast(df) if rows <= (BROADCAST_ROWS if limit is None else limit) else df
+
+
+def by_key(rows: DataFrame, heavy: DataFrame, n_heavy: int, how: str) -> DataFrame:
+    """Rows with (left_semi) or without (left_anti) a heavy key `k`; `pos` numbers the rows."""
+    if n_heavy <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(heavy), "k", how)
+    salted = heavy.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod("pos", F.lit(SALTS)).cast("int")).join(salted, ["k", "salt"], how).drop("salt")
 
 
 def keyed_summary(
@@ -55,20 +67,20 @@ def keyed_summary(
     )
     offsets = cut(offsets)
     n_offsets, n_heavy = offsets.agg(F.count(F.lit(1)), F.count_distinct("k")).first()
-    heavy = small(offsets.select("k").distinct(), n_heavy)
+    heavy = offsets.select("k").distinct()
 
     states = [F.count(F.lit(1)).alias("n"), F.min("t").alias("t0"), F.max("t").alias("t1")] + [
         F.collect_set(n).alias(n) for n in d
     ]
     light = (
-        rows.filter(F.col("k").isNotNull()).join(heavy, "k", "left_anti").groupBy("k").agg(*states)
+        by_key(rows.filter(F.col("k").isNotNull()), heavy, n_heavy, "left_anti").groupBy("k").agg(*states)
         .select("k", "n", "t0", "t1", *[F.size(n).cast("long").alias(n) for n in d])
     )
     if n_offsets == 0:
         return _named(light, distinct), total
 
     numbered = (
-        rows.join(heavy, "k", "left_semi")
+        by_key(rows, heavy, n_heavy, "left_semi")
         .withColumn("i", F.row_number().over(Window.partitionBy("part", "k").orderBy("pos")))
         .join(small(offsets, n_offsets), ["part", "k"], "left")
         .withColumn("chunk", F.floor((F.coalesce("start", F.lit(0)) + F.col("i") - 1) / F.lit(size)))

@@ -72,13 +72,14 @@ def with_frequency(counts: DataFrame) -> DataFrame:
 
 
 def matrix(counts: DataFrame, value: str = "cnt", samples: list[str] | None = None) -> DataFrame:
-    """One row per barcode, one column per sample in order of names; gaps are null."""
+    """One row per barcode, one column per sample in order of names; gaps are null. Cells are numbers, or texts of which there is
+    one each."""
     if samples is None:
         rows = counts.select("sample").distinct().orderBy("sample").limit(MATRIX_SAMPLES + 1).collect()
         samples = [r["sample"] for r in rows]
     if len(samples) > MATRIX_SAMPLES:
         raise ValueError(f"a matrix of more than {MATRIX_SAMPLES} samples; use the long form")
-    return counts.groupBy("barcode").pivot("sample", samples).agg(F.sum(value))
+    return counts.groupBy("barcode").pivot("sample", samples).agg((F.max if dict(counts.dtypes)[value] == "string" else F.sum)(value))
 
 
 def overlap_summary(counts: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import glob
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +11,7 @@ from ..design import Design
 from ..functions.sequences import best_overlap_distance, hamming, levenshtein_within, quality_ok, rev_comp
 from ..functions.structure import fuzzy_parts
 from ..operators import extract
+from ..sources import storage
 from ..sources.discovery import SampleFiles
 from ..sources.fastq import read_fastq, read_fastq_split
 from .reads_view import READS_SQL, raw_reads
@@ -55,14 +55,15 @@ def fastq_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     reads = cut(raw_reads(spark, sf_dir))
     lanes = max(1, -(-reads.count() // LANE_READS))
     lane = F.pmod(F.xxhash64("read_idx"), F.lit(lanes)).alias("lane")
-    folder = os.path.join(shared_dir(spark).removeprefix("file://"), f"fastq-{os.urandom(6).hex()}")
+    folder = f"{shared_dir(spark)}/fastq-{os.urandom(6).hex()}"
     files: dict[str, list[str]] = {}
     for n in (1, 2):
         own = reads.filter(F.col(f"r{n}_seq").isNotNull()).select("sample", lane, "read_idx", _fastq_lines(n).alias("value"))
         own = own.repartition("sample", "lane").sortWithinPartitions("sample", "lane", "read_idx").drop("read_idx")
-        own.write.partitionBy("sample", "lane").text(f"file://{folder}/r{n}", compression="gzip")
-        for part in glob.glob(f"{folder}/r{n}/sample=*/lane=*/part-*"):
-            files.setdefault(os.path.relpath(os.path.dirname(part), f"{folder}/r{n}"), []).append(part)
+        own.write.partitionBy("sample", "lane").text(f"{folder}/r{n}", compression="gzip")
+        for part in storage.files_below(f"{folder}/r{n}"):
+            if part.endswith(".gz"):
+                files.setdefault(os.path.dirname(part), []).append(f"{folder}/r{n}/{part}")
     found = [SampleFiles(key.split("/")[0].removeprefix("sample="), *paths) for key, paths in sorted(files.items())]
     return _numbered(read_fastq(spark, found))
 
@@ -70,13 +71,14 @@ def fastq_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fastq_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw reads written as plain FASTQ, each sample in sorted part files of many tasks, and read by ranges of bytes."""
     reads = cut(raw_reads(spark, sf_dir))
-    folder = os.path.join(shared_dir(spark).removeprefix("file://"), f"fastq-{os.urandom(6).hex()}")
+    folder, samples = f"{shared_dir(spark)}/fastq-{os.urandom(6).hex()}", {1: set(), 2: set()}
     for n in (1, 2):
         own = reads.filter(F.col(f"r{n}_seq").isNotNull()).select("sample", "read_idx", _fastq_lines(n).alias("value"))
         own = own.repartitionByRange("sample", "read_idx").sortWithinPartitions("sample", "read_idx").drop("read_idx")
-        own.write.partitionBy("sample").text(f"file://{folder}/r{n}")
-    paths = {n: {os.path.basename(p).removeprefix("sample="): p for p in glob.glob(f"{folder}/r{n}/sample=*")} for n in (1, 2)}
-    found = [SampleFiles(s, p, paths[2].get(s)) for s, p in sorted(paths[1].items())]
+        own.write.partitionBy("sample").text(f"{folder}/r{n}")
+        samples[n] = {f.split("/")[0] for f in storage.files_below(f"{folder}/r{n}") if "/part-" in f}
+    path = lambda n, s: f"{folder}/r{n}/{s}" if s in samples[n] else None
+    found = [SampleFiles(s.removeprefix("sample="), path(1, s), path(2, s)) for s in sorted(samples[1])]
     return _numbered(read_fastq_split(spark, found, SPLIT))
 
 
@@ -158,7 +160,7 @@ _P1, _P2 = _D.inner_p1_primer, _D.inner_p2_primer
 _MOTIF = "[ACGTN]{5}AC[ACGTN]{5}GA[ACGTN]{5}TC[ACGTN]{5}"
 _DISTANCE = """(SELECT min(hamming(substr(a, CAST(i AS INT), 20), substr(b, CAST(j AS INT), 20)))
                 FROM range(1, 12) t(i), range(1, 12) u(j))"""
-_CLASSIFIED = f"""
+CLASSIFIED_SQL = f"""
     WITH reads AS ({READS_SQL}),
     x AS (SELECT *, substr(r1_seq, 62) AS a, reverse(translate(substr(r2_seq, 38), 'ACGTNacgtn', 'TGCANtgcan')) AS b FROM reads),
     y AS (SELECT *, CASE WHEN r2_seq IS NOT NULL THEN {_DISTANCE} END AS dist FROM x),
@@ -179,19 +181,19 @@ ORACLE = {
     "zip_join_reads": f"WITH reads AS ({READS_SQL}) SELECT sample, read_idx, r1_seq, r2_seq FROM reads WHERE r2_seq IS NOT NULL",
     "fastq_scan": READS_SQL,
     "fastq_split_scan": READS_SQL,
-    "extract_status": f"{_CLASSIFIED} SELECT sample, read_idx, status FROM c",
-    "extract_counters": f"""{_CLASSIFIED}
+    "extract_status": f"{CLASSIFIED_SQL} SELECT sample, read_idx, status FROM c",
+    "extract_counters": f"""{CLASSIFIED_SQL}
         SELECT sample, count(*) AS total_reads, count(*) FILTER (status = 'passed') AS passed,
                count(*) FILTER (status = 'quality_fail') AS quality_fail, count(*) FILTER (status = 'regex_fail') AS regex_fail,
                count(*) FILTER (status = 'overlap_fail') AS overlap_fail,
                count(*) FILTER (status = 'passed')::DOUBLE / count(*) AS pass_fraction FROM c GROUP BY sample""",
-    "extract_parsed": f"""{_CLASSIFIED}
+    "extract_parsed": f"""{CLASSIFIED_SQL}
         SELECT sample, CASE WHEN r2_seq IS NULL THEN 'SE' ELSE 'PE' END AS mode, read_idx,
                concat(substr(r1_seq, 7, 8), substr(r2_seq, 7, 8)) AS combined_umi,
                concat(substr(r1_seq, 1, 6), substr(r2_seq, 1, 6)) AS combined_index, substr(r1_seq, 36, 26) AS barcode,
                substr(r1_seq, 1, 6) AS index1, substr(r2_seq, 1, 6) AS index2, substr(r1_seq, 7, 8) AS umi1,
                substr(r2_seq, 7, 8) AS umi2, CAST(dist AS INT) AS best_overlap_dist FROM c WHERE status = 'passed'""",
-    "unmatched_of_reads": f"""{_CLASSIFIED},
+    "unmatched_of_reads": f"""{CLASSIFIED_SQL},
         f AS (SELECT sample, read_idx, substr(r1_seq, 1, 60) AS sequence_prefix FROM c WHERE status = 'regex_fail'), {_TALLY}""",
     "fuzzy_primer_extract": f"""
         WITH reads AS ({READS_SQL}) SELECT sample, read_idx, substr(r1_seq, 1, 6) AS idx, substr(r1_seq, 7, 8) AS umi,

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..streaming import reads as stream_queries
-from . import barcode_queries, extract_queries, skew_queries
+from . import barcode_queries, extract_queries, file_queries, skew_queries
 
-_MODULES = (extract_queries, barcode_queries, skew_queries, stream_queries)
+_MODULES = (extract_queries, barcode_queries, file_queries, skew_queries, stream_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -15,6 +15,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; where that is unset (tests, one machine) a new temporary one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = getattr(spark, "_readloom_dir", None) or "file://" + tempfile.mkdtemp(prefix="readloom-")
         spark._readloom_dir = named
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -22,13 +24,20 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def expire(spark: SparkSession, path: str) -> str:
+    """Has the driver's JVM remove what lies at a path when it ends; returns the path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it back: what follows doesn't recompute it and survives
-    the loss of executors. Column names and types stay."""
+    the loss of executors. Column names and types stay. The folder is removed when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(expire(spark, path))
 
 
 def put_file(spark: SparkSession, name: str, data: bytes) -> str:
@@ -55,6 +64,7 @@ def put_table(df: DataFrame) -> str:
     spark, name = df.sparkSession, f"table-{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/{name}"
     df.write.parquet(path)
+    expire(spark, path)
     if urlparse(path).scheme in ("", "file"):
         return urlparse(path).path
     spark.sparkContext.addFile(path, recursive=True)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import io
 import os
 import re
 from dataclasses import dataclass
 
+from . import storage
+
 #: Fixed formats: file name endings, whatever their case, and the marks of read 1 and read 2.
 ENDINGS = (".fastq.gz", ".fq.gz", ".fastq", ".fq")
 READ_1 = re.compile(r"_R1[_.]|_R1$|_1\.fastq|_1\.fq")
@@ -27,7 +30,7 @@ class SampleFiles:
 
 def sample_names(path: str) -> list[str]:
     """Names of a list file: one a line, stripped; blank lines and lines that begin with # don't count."""
-    with open(path) as f:
+    with io.TextIOWrapper(storage.open_in(path), encoding="utf-8") as f:
         return [line.strip() for line in f if line.strip() and line[0] != "#"]
 
 
@@ -38,7 +41,7 @@ def names_file(sample: str, file_name: str) -> bool:
 
 def fastq_files(folder: str) -> list[str]:
     """Names of the FASTQ files right in a folder, sorted."""
-    return sorted(f for f in os.listdir(folder) if f.lower().endswith(ENDINGS))
+    return [f for f in storage.names(folder) if f.lower().endswith(ENDINGS)]
 
 
 def find_samples(names: list[str], folder: str, mode: str = "auto") -> dict[str, SampleFiles]:

@@ -5,16 +5,15 @@ from __future__ import annotations
 import gzip
 import io
 import json
-import os
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import islice, repeat
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from ..plans.shared import cut
+from . import storage
 from .discovery import SampleFiles
 
 SCHEMA = (
@@ -24,31 +23,33 @@ SCHEMA = (
 BATCH = 10_000
 
 
-def _lines(path: str) -> io.TextIOBase:
-    """A plain or (by its ending .gz) gzip-compressed text; paths with a scheme go through pyarrow."""
-    if "://" in path and not path.startswith("file://"):
-        from pyarrow import fs
-
-        system, inner = fs.FileSystem.from_uri(path)
-        raw = system.open_input_stream(inner, compression=None)
-    else:
-        raw = open(path.removeprefix("file://"), "rb")
+def _lines(path: str, at: int = 0) -> io.TextIOBase:
+    """A plain or (by its ending .gz) gzip-compressed text, a plain one from a byte on."""
+    raw = storage.open_in(path)
+    if at:
+        raw.seek(at)
     return io.TextIOWrapper(gzip.open(raw) if path.endswith(".gz") else raw, encoding="utf-8", newline=None)
 
 
+def _batches(text: io.TextIOBase, path: str, size: int, most: int | None = None) -> Iterator[tuple[list[str], ...]]:
+    """record_batches() of an open text, of `most` records at most."""
+    lines_left = islice(text, None if most is None else 4 * most)
+    while lines := [line.rstrip("\n") for line in islice(lines_left, 4 * size)]:
+        whole = len(lines) - len(lines) % 4
+        if len(lines) % 4 == 3:
+            lines.append("")
+            whole += 4
+        if whole:
+            yield lines[0:whole:4], lines[1:whole:4], lines[3:whole:4]
+        if whole < len(lines):
+            raise ValueError(f"truncated FASTQ record in {path}")
+
+
 def record_batches(path: str, size: int = BATCH) -> Iterator[tuple[list[str], list[str], list[str]]]:
     """Headers, sequences and qualities of up to `size` records of four lines at a time. Ends where no further line follows a
     record; ValueError where one breaks off before its third line (a blank line at the end is such a record)."""
     with _lines(path) as text:
-        while lines := [line.rstrip("\n") for line in islice(text, 4 * size)]:
-            whole = len(lines) - len(lines) % 4
-            if len(lines) % 4 == 3:
-                lines.append("")
-                whole += 4
-            if whole:
-                yield lines[0:whole:4], lines[1:whole:4], lines[3:whole:4]
-            if whole < len(lines):
-                raise ValueError(f"truncated FASTQ record in {path}")
+        yield from _batches(text, path, size)
 
 
 def records(path: str) -> Iterator[tuple[str, str, str]]:
@@ -57,6 +58,13 @@ def records(path: str) -> Iterator[tuple[str, str, str]]:
         yield from zip(*batch)
 
 
+def _rows(sample: str, mode: str, first: int, one: tuple, two: tuple, n: int) -> pa.RecordBatch:
+    """The first n reads of a batch of each file, numbered from `first`."""
+    text, names = pa.string(), [c.split()[0] for c in SCHEMA.split(", ")]
+    head = [pa.array([sample] * n, text), pa.array([mode] * n, text), pa.array(range(first, first + n), pa.int64())]
+    return pa.RecordBatch.from_arrays([*head, *[pa.array(column[:n], text) for column in (*one, *two)]], names)
+
+
 class _Sample(InputPartition):
     def __init__(self, sample: str, r1: str, r2: str | None):
         self.sample, self.r1, self.r2 = sample, r1, r2
@@ -72,13 +80,10 @@ class _Reader(DataSourceReader):
 
     def read(self, partition: _Sample) -> Iterator[pa.RecordBatch]:
         mode, at = "PE" if partition.r2 else "SE", 0
-        text, names = pa.string(), [c.split()[0] for c in SCHEMA.split(", ")]
         second = record_batches(partition.r2) if partition.r2 else repeat(([None] * BATCH,) * 3)
         for one, two in zip(record_batches(partition.r1), second):
             n = min(len(one[0]), len(two[0]))
-            head = [pa.array([partition.sample] * n, text), pa.array([mode] * n, text), pa.array(range(at + 1, at + n + 1), pa.int64())]
-            parts = [pa.array(column[:n], text) for column in (*one, *two)]
-            yield pa.RecordBatch.from_arrays([*head, *parts], names)
+            yield _rows(partition.sample, mode, at + 1, one, two, n)
             at += n
             if n < BATCH:
                 break  # the shorter file has ended
@@ -106,70 +111,53 @@ def read_fastq(spark: SparkSession, found: dict[str, SampleFiles] | list[SampleF
     return spark.read.format("fastq").option("samples", json.dumps([[s.sample, s.r1, s.r2] for s in samples])).load()
 
 
-SPLIT_SCHEMA = "sample string, read_no int, split long, at long, header string, seq string, qual string"
+RANGE_SCHEMA = "sample string, read_no int, split long, path string, at long, n long"
 #: Bytes of a plain file that one task reads.
 SPLIT_BYTES = 128 * 1024 * 1024
 
 
-def _seekable(path: str) -> tuple[io.BufferedIOBase, int]:
-    """A plain file for reading from any place, and its size."""
-    if "://" in path and not path.startswith("file://"):
-        from pyarrow import fs
-
-        system, inner = fs.FileSystem.from_uri(path)
-        return system.open_input_file(inner), system.get_file_info(inner).size
-    raw = open(path.removeprefix("file://"), "rb")
-    return raw, os.fstat(raw.fileno()).st_size
-
-
 def part_files(path: str) -> list[str]:
     """The file itself or, of a folder of part files as Spark writes them, these in order of their numbers."""
-    if "://" in path and not path.startswith("file://"):
-        from pyarrow import fs
+    return [f"{path}/{name}" for name in storage.part_names(path)] if storage.is_folder(path) else [path]
 
-        system, inner = fs.FileSystem.from_uri(path)
-        if system.get_file_info(inner).type != fs.FileType.Directory:
-            return [path]
-        names = [f.base_name for f in system.get_file_info(fs.FileSelector(inner)) if f.base_name.startswith("part-")]
-    elif os.path.isdir(folder := path.removeprefix("file://")):
-        names = [f for f in os.listdir(folder) if f.startswith("part-")]
-    else:
-        return [path]
-    return [f"{path}/{name}" for name in sorted(names, key=lambda f: (int(f.split("-")[1]), f))]
 
-
-def split_records(path: str, start: int, end: int) -> Iterator[tuple[str, str, str]]:
-    """Records that begin in the bytes [start, end) of a plain file.
+def range_records(path: str, start: int, end: int) -> tuple[int, int]:
+    """Of a plain file where the first record begins that begins in the bytes [start, end), and how many do.
 
     A line is a header if it begins with @ and the next line but one with +: a quality line may begin with @ too, but two
-    lines below it stands a sequence."""
-    raw, _ = _seekable(path)
-    with raw, io.BufferedReader(raw, 1 << 20) if not hasattr(raw, "peek") else raw as text:
+    lines below it stands a sequence. From there on ends of lines are counted only; nothing is decoded."""
+    with storage.open_in(path) as raw:
+        end = min(end, raw.size())
         at = max(0, start - 1)
-        text.seek(at)
+        raw.seek(at)
         if start:
+            text = io.BufferedReader(raw, 1 << 16)
             at += len(text.readline())  # the rest of a line that began before
-        held: list[bytes] = []
-
-        def line() -> bytes:
-            return held.pop(0) if held else text.readline()
-
-        if start:
-            held = [text.readline() for _ in range(6)]
-            while held[0] and not (held[0][:1] == b"@" and held[2][:1] == b"+"):
+            held = [text.readline() for _ in range(3)]
+            while at < end and held[0] and not (held[0][:1] == b"@" and held[2][:1] == b"+"):
                 at += len(held.pop(0))
                 held.append(text.readline())
-        while at < end and (header := line()):
-            sequence, plus, quality = line(), line(), line()
-            if not plus:
-                raise ValueError(f"truncated FASTQ record in {path}")
-            at += len(header) + len(sequence) + len(plus) + len(quality)
-            yield tuple(x.rstrip(b"\r\n").decode("utf-8") for x in (header, sequence, quality))
+        if at >= end:
+            return end, 0
+        raw.seek(at)
+        lines, left = 1, end - 1 - at
+        while left > 0 and (block := raw.read(min(left, 1 << 20))):
+            lines += block.count(b"\n")
+            left -= len(block)
+        return at, -(-lines // 4)
 
 
-class _Range(InputPartition):
-    def __init__(self, sample: str, read_no: int, path: str, split: int, start: int, end: int):
-        self.sample, self.read_no, self.path, self.split, self.start, self.end = sample, read_no, path, split, start, end
+def records_from(path: str, at: int, skip: int, n: int) -> Iterator[tuple[list[str], ...]]:
+    """Batches of n records of a plain file from a record's first byte on, less the first `skip` of them."""
+    with _lines(path, at) as text:
+        for _ in islice(text, 4 * skip):
+            pass
+        yield from _batches(text, path, BATCH, n - skip)
+
+
+class _Part(InputPartition):
+    def __init__(self, values: list):
+        self.values = values
 
 
 class _RangeReader(DataSourceReader):
@@ -186,59 +174,106 @@ class _RangeReader(DataSourceReader):
                 for path in part_files(whole) if whole else ():
                     if path.endswith(".gz"):
                         raise ValueError(f"{path} is compressed and can't be split")
-                    raw, size = _seekable(path)
-                    raw.close()
-                    for a in range(0, size, self.bytes):
-                        out.append(_Range(s.sample, n, path, k, a, a + self.bytes))
+                    for a in range(0, storage.size(path), self.bytes):
+                        out.append(_Part([s.sample, n, k, path, a, a + self.bytes]))
                         k += 1
         return out
 
-    def read(self, p: _Range) -> Iterator[pa.RecordBatch]:
-        records, at = split_records(p.path, p.start, p.end), 0
-        names, text = [c.split()[0] for c in SPLIT_SCHEMA.split(", ")], pa.string()
-        while rows := list(islice(records, BATCH)):
-            n = len(rows)
-            head = [pa.array([p.sample] * n, text), pa.array([p.read_no] * n, pa.int32()), pa.array([p.split] * n, pa.int64())]
-            numbers = pa.array(range(at, at + n), pa.int64())
-            yield pa.RecordBatch.from_arrays([*head, numbers, *[pa.array([r[i] for r in rows], text) for i in range(3)]], names)
-            at += n
+    def read(self, partition: _Part) -> Iterator[tuple]:
+        sample, read_no, split, path, start, end = partition.values
+        yield (sample, read_no, split, path, *range_records(path, start, end))
 
 
-class FastqSplitSource(DataSource):
-    """Records of plain FASTQ files by ranges of bytes, with their place in the range."""
+class FastqRangesSource(DataSource):
+    """Where the records of ranges of plain FASTQ files begin, and their numbers."""
 
     @classmethod
     def name(cls) -> str:
-        return "fastq_split"
+        return "fastq_ranges"
 
     def schema(self) -> str:
-        return SPLIT_SCHEMA
+        return RANGE_SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
         return _RangeReader(self.options)
 
 
+class _PairReader(DataSourceReader):
+    def __init__(self, options: dict):
+        self.parts = json.loads(options["parts"])
+
+    def partitions(self) -> list[InputPartition]:
+        return [_Part(p) for p in self.parts]
+
+    def read(self, partition: _Part) -> Iterator[pa.RecordBatch]:
+        """Batches of both files don't end alike, so the longer one's rest waits for the next."""
+        sample, mode, at, one, two = partition.values
+        sides = [(b for s in own for b in records_from(*s)) for own in (one, two)]
+        if mode == "SE":
+            sides[1] = repeat(([None] * BATCH,) * 3)
+        held: list[tuple[list, ...]] = [([], [], []), ([], [], [])]
+        while True:
+            for i in (0, 1):
+                while not held[i][0] and (new := next(sides[i], None)) is not None:
+                    held[i] = new
+            n = min(len(h[0]) for h in held)
+            if not n:
+                return
+            yield _rows(sample, mode, at, held[0], held[1], n)
+            at += n
+            held = [tuple(column[n:] for column in h) for h in held]
+
+
+class FastqPairsSource(DataSource):
+    """Reads of plain FASTQ files by ranges of records, those of a pair side by side."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "fastq_pairs"
+
+    def schema(self) -> str:
+        return SCHEMA
+
+    def reader(self, schema) -> DataSourceReader:
+        return _PairReader(self.options)
+
+
+def _parts(samples: list[SampleFiles], ranges: list) -> list[list]:
+    """Per range of a sample's first file: sample, mode, the first record's number, and what to read of either file as
+    (path, first byte, records to skip, records up to which)."""
+    held: dict[tuple[str, int], list] = {}
+    for r in sorted(ranges, key=lambda r: r["split"]):
+        held.setdefault((r["sample"], r["read_no"]), []).append(r)
+    out = []
+    for s in samples:
+        second, ends = held.get((s.sample, 2), []), []
+        for r in second:
+            ends.append((ends[-1] if ends else 0) + r["n"])
+        first = 0
+        for r in held.get((s.sample, 1), []):
+            last, two = first + r["n"], []
+            for k in range(bisect_right(ends, first), len(second)):
+                own, begin = second[k], ends[k] - second[k]["n"]
+                if begin >= last:
+                    break
+                two.append([own["path"], own["at"], max(0, first - begin), min(own["n"], last - begin)])
+            if r["n"]:
+                out.append([s.sample, s.mode, first + 1, [[r["path"], r["at"], 0, r["n"]]], two])
+            first = last
+    return out
+
+
 def read_fastq_split(spark: SparkSession, found: dict[str, SampleFiles] | list[SampleFiles], split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """The same rows as read_fastq(), of plain files of any size, or folders of plain part files: ranges are counted in a first
-    pass, prefix sums number their records, and the second reads join the first ones by sample and number."""
-    spark.dataSource.register(FastqSplitSource)
+    """The same rows as read_fastq(), of plain files of any size, or folders of plain part files. A first pass counts the ends of
+    lines of every range of bytes; prefix sums of these counts (a row per range, on the driver like the ranges themselves) number
+    the records. The second pass reads each range of a first file and, beside it, the same records of the second file, from
+    the ranges that hold them: reads aren't shuffled."""
+    spark.dataSource.register(FastqRangesSource)
+    spark.dataSource.register(FastqPairsSource)
     samples = list(found.values() if isinstance(found, dict) else found)
     option = json.dumps([[s.sample, s.r1, s.r2] for s in samples])
-    rows = spark.read.format("fastq_split").option("samples", option).option("splitbytes", split_bytes).load()
-    file_ranges = Window.partitionBy("sample", "read_no").orderBy("split")  # a row per range
-    ranges = cut(rows.groupBy("sample", "read_no", "split").agg(F.count(F.lit(1)).alias("n")))
-    ranges = ranges.withColumn("first", F.sum("n").over(file_ranges) - F.col("n")).drop("n")
-    few = ranges.count() <= 200_000
-    numbered = rows.join(F.broadcast(ranges) if few else ranges, ["sample", "read_no", "split"])
-    numbered = numbered.withColumn("read_idx", F.col("first") + F.col("at") + 1)
-    part = lambda n: numbered.filter(F.col("read_no") == n).select(
-        "sample", "read_idx", *[F.col(c).alias(f"r{n}_{c}") for c in ("header", "seq", "qual")]
-    )
-    single = [s.sample for s in samples if not s.r2]
-    paired = part(1).filter(~F.col("sample").isin(single)).join(part(2), ["sample", "read_idx"])
-    alone = part(1).filter(F.col("sample").isin(single))
-    whole = paired.withColumn("mode", F.lit("PE")).unionByName(alone.withColumn("mode", F.lit("SE")), allowMissingColumns=True)
-    return whole.select(*[c.split()[0] for c in SCHEMA.split(", ")])
+    ranges = spark.read.format("fastq_ranges").option("samples", option).option("splitbytes", split_bytes).load().collect()
+    return spark.read.format("fastq_pairs").option("parts", json.dumps(_parts(samples, ranges))).load()
 
 
 def read_samples(spark: SparkSession, found: dict[str, SampleFiles], split_bytes: int = SPLIT_BYTES) -> DataFrame:
@@ -248,12 +283,7 @@ def read_samples(spark: SparkSession, found: dict[str, SampleFiles], split_bytes
         paths = [p for p in (s.r1, s.r2) if p]
         if any(p.endswith(".gz") for p in paths):
             return False
-        sizes = []
-        for p in paths:
-            raw, size = _seekable(p)
-            raw.close()
-            sizes.append(size)
-        return max(sizes) > split_bytes
+        return max(map(storage.size, paths)) > split_bytes
 
     large = [s for s in found.values() if by_ranges(s)]
     small = [s for s in found.values() if s not in large]

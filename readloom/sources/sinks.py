@@ -7,15 +7,16 @@ put together, a task a file. Only tables of a row per sample go through the driv
 from __future__ import annotations
 
 import csv
-import glob
+import io
 import math
 import os
-import shutil
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import storage
 from .tables import PARSED, PARSED_SE
 
 
@@ -37,24 +38,30 @@ def fixed(value: str | Column, places: int) -> Column:
     return F.concat(F.floor(n / 10**places), F.lit("."), F.lpad((n % 10**places).cast("string"), places, "0"))
 
 
+def _line(values: list, sep: str, end: str = "\n") -> bytes:
+    """A line as the csv module writes it."""
+    text = io.StringIO()
+    csv.writer(text, delimiter=sep, lineterminator=end).writerow(values)
+    return text.getvalue().encode()
+
+
 def _join(folder: str, target: str, names: list[str], sep: str) -> None:
-    """Puts Spark's sorted part files (of a shared file system) behind a header into one file, as streams of bytes. The file
-    appears once it is whole, so the task can be repeated."""
-    parts = glob.glob(os.path.join(folder, "part-*"))
-    tmp = f"{target}.{uuid.uuid4().hex}"
-    with open(tmp, "w", newline="") as f:
-        csv.writer(f, delimiter=sep, lineterminator="\n").writerow(names)
-    with open(tmp, "ab") as out:
-        for part in sorted(parts, key=lambda p: (int(os.path.basename(p).split("-")[1]), p)):
-            with open(part, "rb") as own:
-                shutil.copyfileobj(own, out, 1 << 20)
-    os.replace(tmp, target)
+    """Puts Spark's sorted part files behind a header into one file, as streams of bytes."""
+
+    def blocks() -> Iterator[bytes]:
+        yield _line(names, sep)
+        for part in storage.part_names(folder):
+            with storage.open_in(f"{folder}/{part}") as own:
+                while block := own.read(1 << 20):
+                    yield block
+
+    storage.write_whole(target, blocks())
 
 
 def _join_all(spark: SparkSession, files: list[tuple[str, str]], names: list[str], sep: str) -> None:
     """_join() of each (folder, target), in tasks."""
     if files:
-        whole = [tuple(map(os.path.abspath, f)) for f in files]  # tasks may have another working folder
+        whole = [tuple(map(storage.uri, f)) for f in files]  # tasks may have another working folder
         tasks = min(len(files), 2 * spark.sparkContext.defaultParallelism)
         rows = spark.createDataFrame(whole, "folder string, target string").repartition(tasks)
         rows.foreach(lambda r: _join(r["folder"], r["target"], names, sep))
@@ -67,22 +74,22 @@ def _options(sep: str) -> dict:
 def one_file(df: DataFrame, target: str, order: list, shown: list[str]) -> None:
     """One sorted CSV file. Spark sorts and formats in parallel."""
     tmp = f"{target}.{uuid.uuid4().hex}"
-    df.orderBy(*order).select(*[F.col(f"`{c}`") for c in shown]).write.csv(tmp, **_options(","))
+    df.orderBy(*order).select(*[F.col(f"`{c}`") for c in shown]).write.csv(storage.uri(tmp), **_options(","))
     _join_all(df.sparkSession, [(tmp, target)], shown, ",")
-    shutil.rmtree(tmp)
+    storage.remove_folder(tmp)
 
 
 def per_sample(df: DataFrame, samples: list[str], folder: str, ending: str, sep: str = "\t", with_sample: bool = False) -> None:
     """A file per sample, in the order of the column `_o`, which isn't written; samples without rows get a header only.
     Rows are split by ranges of (sample, order), so that a large sample takes several tasks."""
-    os.makedirs(folder, exist_ok=True)
+    storage.make_folder(folder)
     tmp = os.path.join(folder, f"_{uuid.uuid4().hex}")
     keep = [c for c in df.columns if c != "_o" and (c != "sample" or with_sample)]
     ranges = df.withColumn("_s", F.col("sample")).repartitionByRange("_s", "_o").sortWithinPartitions("_s", "_o")
-    ranges.select(*keep, "_s").write.partitionBy("_s").csv(tmp, **_options(sep))
+    ranges.select(*keep, "_s").write.partitionBy("_s").csv(storage.uri(tmp), **_options(sep))
     files = [(os.path.join(tmp, f"_s={_escaped(sample)}"), os.path.join(folder, sample + ending)) for sample in samples]
     _join_all(df.sparkSession, files, keep, sep)
-    shutil.rmtree(tmp)
+    storage.remove_folder(tmp)
 
 
 def _escaped(name: str) -> str:
@@ -94,7 +101,7 @@ def write_parsed(
     parsed: DataFrame, modes: dict[str, str], folder: str, extra: tuple[str, ...] = (), ending: str = ".parsed.tsv"
 ) -> None:
     """Parsed tables per sample, of 8 columns for paired-end samples and 5 for single-end ones."""
-    os.makedirs(folder, exist_ok=True)
+    storage.make_folder(folder)
     for mode, names in (("PE", list(PARSED)), ("SE", PARSED_SE)):
         samples = [s for s, m in modes.items() if m == mode]
         if samples:
@@ -105,13 +112,12 @@ def write_parsed(
 
 def write_stats(counters: DataFrame, folder: str) -> list:
     """The counters of each sample as lines `# Key<TAB>value`; returns the rows (one per sample)."""
-    os.makedirs(folder, exist_ok=True)
+    storage.make_folder(folder)
     rows = counters.collect()
     for r in rows:
         keys = ("total_reads", "passed", "quality_fail", "regex_fail", "overlap_fail")
         lines = [f"# {k.capitalize()}\t{r[k]}\n" for k in keys] + [f"# Pass_fraction\t{r['pass_fraction']:.4f}\n"]
-        with open(os.path.join(folder, f"{r['sample']}.stats.tsv"), "w") as f:
-            f.writelines(lines)
+        storage.write_whole(os.path.join(folder, f"{r['sample']}.stats.tsv"), ["".join(lines).encode()])
     return rows
 
 
@@ -124,18 +130,16 @@ def write_unmatched(tally: DataFrame, samples: list[str], folder: str) -> None:
 def write_filter_summary(summary: DataFrame, target: str) -> list:
     """`sample,kept,index_mismatch,motif_absent,total,kept_fraction`, in order of samples; returns the rows."""
     rows = summary.orderBy("sample").collect()
-    os.makedirs(os.path.dirname(target) or ".", exist_ok=True)
-    with open(target, "w", newline="") as f:
-        out = csv.writer(f)
-        names = ["sample", "kept", "index_mismatch", "motif_absent", "total"]
-        out.writerow([*names, "kept_fraction"])
-        out.writerows([*[r[n] for n in names], f"{r['kept_fraction']:.4f}"] for r in rows)
+    storage.make_folder(os.path.dirname(target) or ".")
+    names = ["sample", "kept", "index_mismatch", "motif_absent", "total"]
+    lines = [[*names, "kept_fraction"], *([*[r[n] for n in names], f"{r['kept_fraction']:.4f}"] for r in rows)]
+    storage.write_whole(target, [_line(values, ",", "\r\n") for values in lines])
     return rows
 
 
 def write_corrected(corrected: DataFrame, samples: list[str], folder: str) -> None:
     """A CSV file of corrected barcodes per sample, by falling counts."""
-    os.makedirs(folder, exist_ok=True)
+    storage.make_folder(folder)
     share = fixed("freq_within_sample", 6).alias("freq_within_sample")
     order = F.struct(-F.col("total_count"), "corrected_barcode").alias("_o")
     shown = corrected.select("sample", "corrected_barcode", "total_count", share, order)
@@ -158,7 +162,7 @@ def write_histograms(histogram: DataFrame, folder: str, lines: dict | None = Non
         import matplotlib.pyplot as plt
     except ImportError:
         return []
-    os.makedirs(folder, exist_ok=True)
+    storage.make_folder(folder)
     rows = histogram.orderBy("sample", "bin").collect()  # at most 60 per sample
     out = []
     for sample in sorted({r["sample"] for r in rows}):
@@ -173,6 +177,8 @@ def write_histograms(histogram: DataFrame, folder: str, lines: dict | None = Non
         ax.set(title=f"{sample}: {sum(dropped)} of {sum(kept) + sum(dropped)} dropped", xlabel="log10 of the share of the sample", ylabel="barcodes")
         ax.legend()
         out.append(os.path.join(folder, f"{sample}.count_distribution.png"))
-        fig.savefig(out[-1], dpi=120)
+        picture = io.BytesIO()
+        fig.savefig(picture, dpi=120)
+        storage.write_whole(out[-1], [picture.getvalue()])
         plt.close(fig)
     return out

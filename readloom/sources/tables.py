@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import storage
+
 #: Fixed formats: columns of the tables on disk, and their names here.
 PARSED = {
     "Combined_UMI": "combined_umi", "Combined_Index": "combined_index", "Barcode": "barcode", "Index1": "index1",
@@ -22,7 +24,7 @@ def _file_name() -> F:
 
 def index_map(spark: SparkSession, path: str) -> DataFrame:
     """`line_no`, `sample`, `expected_index` of a CSV file; ValueError if one of the two columns is missing."""
-    df = spark.read.csv(path, header=True)
+    df = spark.read.csv(storage.uri(path), header=True)
     missing = {"sample", "expected_index"} - set(df.columns)
     if missing:
         raise ValueError(f"{path} has no column {', '.join(sorted(missing))}; it has {df.columns}")
@@ -36,8 +38,7 @@ def parsed_tables(spark: SparkSession, paths: list[str], ending: str) -> DataFra
         raise ValueError("no tables to read")
     kinds: dict[str, list[str]] = {}  # files by header: a scan for each kind, however many samples there are
     for path in paths:
-        with open(path) as f:
-            kinds.setdefault(f.readline().rstrip("\r\n"), []).append(path)
+        kinds.setdefault(storage.first_line(path), []).append(storage.uri(path))
     parts = []
     for header, own in kinds.items():
         columns = header.replace("Combined UMI", "Combined_UMI").split("\t")
@@ -62,8 +63,7 @@ def table_modes(paths: list[str], ending: str) -> dict[str, str]:
     """By the headers of parsed (or kept) tables whether each sample is paired-end (PE) or single-end (SE), rows or none."""
     modes = {}
     for path in paths:
-        with open(path) as f:
-            columns = f.readline().rstrip("\r\n").split("\t")
+        columns = storage.first_line(path).split("\t")
         modes[os.path.basename(path).removesuffix(ending)] = "PE" if "Index2" in columns else "SE"
     return modes
 
@@ -72,7 +72,7 @@ def corrected_tables(spark: SparkSession, path: str) -> DataFrame:
     """`sample`, `file`, `barcode`, `cnt` and `position` (by file, then line) of corrected-barcode CSV files; a file's sample is
     that of its first line."""
     kinds = "sample string, corrected_barcode string, total_count long, freq_within_sample double"
-    df = spark.read.csv(path, header=True, schema=kinds).select(
+    df = spark.read.csv(storage.uri(path), header=True, schema=kinds).select(
         "*", F.col("_metadata.file_path").alias("file"),
         F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("position"),
     )

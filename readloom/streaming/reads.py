@@ -13,7 +13,8 @@ from ..operators.extract import classify
 from ..plans.session import table
 from ..plans.shared import shared_dir
 
-#: How long after a read's first delivery another one is still recognised; the state kept is that of so many days.
+#: How long after a read's first delivery another one is still recognised; the state kept is that of so many days. Reads that come
+#: later than so many days after the newest one are left out (late_rows() counts them); to_exact_table() has no such bound.
 REDELIVERY = "120 days"
 
 
@@ -32,6 +33,42 @@ def unique_reads(stream: DataFrame, within: str = REDELIVERY) -> DataFrame:
     return timed.dropDuplicatesWithinWatermark(["sample_name", "read_idx"])
 
 
+def late_rows(query) -> int:
+    """Rows that a finished query's stateful steps left out because they were older than the watermark."""
+    steps = [step for progress in query.recentProgress for step in progress["stateOperators"]]
+    return sum(step.get("numRowsDroppedByWatermark") or 0 for step in steps)
+
+
+def to_exact_table(stream: DataFrame, path: str, checkpoint: str):
+    """Each read's first delivery, however late others, or the read itself, come: every batch is compared with the reads that the
+    table holds for the batch's days (`run_day`, which redeliveries repeat and by which the table is partitioned), so no state
+    is kept and nothing is left out. A batch that is repeated after a failure writes its own folder anew."""
+    schema = stream.schema
+
+    def add(batch: DataFrame, number: int) -> None:
+        spark, own = batch.sparkSession, f"{path}/batch={number:09d}"
+        rows = batch.dropDuplicates(["sample_name", "read_idx"])
+        earlier = _folders_before(spark, path, number)
+        if earlier:
+            days = F.broadcast(batch.select(F.col("run_day").alias("day")).distinct())  # as many as days
+            held = spark.read.schema(schema).option("basePath", path).parquet(*earlier).join(days, F.col("run_day").eqNullSafe(F.col("day")), "left_semi")
+            rows = rows.join(held.select("sample_name", "read_idx"), ["sample_name", "read_idx"], "left_anti")
+        rows.write.mode("overwrite").partitionBy("run_day").parquet(own)
+
+    writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
+def _folders_before(spark: SparkSession, path: str, number: int) -> list[str]:
+    """The folders of the batches before one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    found = sorted(s.getPath().getName() for s in system.listStatus(folder))
+    return [f"{path}/{f}" for f in found if f.startswith("batch=") and int(f.removeprefix("batch=")) < number]
+
+
 def classified(stream: DataFrame, design: Design = Design()) -> DataFrame:
     """A stream of raw reads with their status and parts; keeps no state."""
     return classify(stream, design)
@@ -53,8 +90,16 @@ def stream_unique_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.groupBy("sample_name", "run_day").agg(F.count(F.lit(1)).alias("n_reads"))
 
 
-QUERIES = {"stream_unique_reads": stream_unique_reads}
+def stream_exact_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a stream that compares every batch with the table, whatever the deliveries' delay."""
+    folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    own = read_stream(spark, sf_dir, "parsed").select("sample_name", "read_idx", "run_day", "loaded_at")
+    to_exact_table(own, f"{folder}/reads", f"{folder}/state").awaitTermination()
+    reads = spark.read.schema(own.schema).parquet(f"{folder}/reads")
+    return reads.groupBy("sample_name", "run_day").agg(F.count(F.lit(1)).alias("n_reads"))
+
+
+QUERIES = {"stream_unique_reads": stream_unique_reads, "stream_exact_reads": stream_exact_reads}
 ORACLE = {
-    "stream_unique_reads": """
-        SELECT sample_name, run_day, count(DISTINCT read_idx) AS n_reads FROM parsed GROUP BY ALL""",
+    name: "SELECT sample_name, run_day, count(DISTINCT read_idx) AS n_reads FROM parsed GROUP BY ALL" for name in QUERIES
 }

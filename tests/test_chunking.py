@@ -28,8 +28,9 @@ def expected(rows):
     return out
 
 
-@pytest.mark.parametrize("chunk_rows", [1, 7, 100, 100_000])
-def test_hot_keys_nulls_and_ties(spark, chunk_rows):
+@pytest.mark.parametrize("chunk_rows, broadcast", [(1, 200_000), (7, 200_000), (7, 2), (100, 0), (100_000, 200_000)])
+def test_hot_keys_nulls_and_ties(spark, monkeypatch, chunk_rows, broadcast):
+    monkeypatch.setattr("readloom.operators.chunking.BROADCAST_ROWS", broadcast)  # beyond it keys are salted
     rng = random.Random(5)
     day = dt.datetime(2031, 1, 1)
     rows = []

@@ -12,7 +12,7 @@ from readloom.cli import main
 from readloom.design import Design
 from readloom.functions.sequences import complement as rev_comp_text
 from readloom.sources import discovery, sinks
-from readloom.sources.fastq import part_files, read_fastq, read_fastq_split, read_samples, records, split_records
+from readloom.sources.fastq import part_files, range_records, read_fastq, read_fastq_split, read_samples, records, records_from
 
 D = Design()
 TAIL = "CATGTTACCGGATTGCAAGTCTGACGATCAGTTCAGCATACGCTTGGAC"
@@ -205,8 +205,11 @@ def test_every_record_is_in_one_range(tmp_path, split_bytes):
     path = str(tmp_path / "x.fq")
     write(path, odd_reads(random.Random(split_bytes)))
     size = os.path.getsize(path)
-    got = [r for a in range(0, size, split_bytes) for r in split_records(path, a, a + split_bytes)]
-    assert got == list(records(path)) and len(got) == 12
+    ranges = [range_records(path, a, a + split_bytes) for a in range(0, size, split_bytes)]
+    got = [r for at, n in ranges for batch in records_from(path, at, 0, n) for r in zip(*batch)]
+    assert got == list(records(path)) and len(got) == 12 == sum(n for _, n in ranges)
+    at, n = ranges[0]
+    assert [r for batch in records_from(path, at, 0, n) for r in zip(*batch)][1:] == [r for batch in records_from(path, at, min(1, n), n) for r in zip(*batch)]
 
 
 def test_splits_give_the_same_reads(spark, tmp_path):
@@ -248,3 +251,28 @@ def test_folders_of_parts_are_one_file(spark, tmp_path):
     rows = read_fastq_split(spark, [discovery.SampleFiles("p", str(tmp_path / "r1"), str(tmp_path / "r2"))], 60).orderBy("read_idx").collect()
     assert [(r["r1_seq"], r["r1_qual"]) for r in rows] == reads == [(r["r2_seq"], r["r2_qual"]) for r in rows]
     assert [r["read_idx"] for r in rows] == list(range(1, 13))
+
+
+def test_files_of_other_systems(tmp_path, monkeypatch):
+    """What the tasks read and write goes through the file system that a path names."""
+    from pyarrow import fs
+
+    from readloom.sources import storage, tables
+
+    monkeypatch.setitem(storage.SYSTEMS, "stub", fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem()))
+    reads = odd_reads(random.Random(8))
+    write(str(tmp_path / "x.fq.gz"), reads)
+    write(str(tmp_path / "x_R1.fq"), reads)
+    (tmp_path / "names.txt").write_text("x\n")
+    assert [r[1:] for r in records("stub://x.fq.gz")] == reads == [r[1:] for r in records("stub://x_R1.fq")]
+    at, n = range_records("stub://x_R1.fq", 0, 10**6)
+    assert (at, n) == (0, 12) and len(list(records_from("stub://x_R1.fq", at, 2, n))[0][0]) == 10
+    assert discovery.sample_names("stub://names.txt") == ["x"] and len(discovery.fastq_files("stub://")) == 2
+    for k in (0, 1, 10):
+        storage.write_whole(f"stub://parts/part-{k:05d}-x.csv", [f"{k}\n".encode()]) if k else storage.make_folder("stub://parts")
+    sinks._join("stub://parts", "stub://out.csv", ["a b", "c"], ",")
+    assert (tmp_path / "out.csv").read_text() == "a b,c\n1\n10\n" and part_files("stub://parts")[0] == "stub://parts/part-00001-x.csv"
+    (tmp_path / "s.parsed.tsv").write_text("Combined_UMI\tBarcode\tIndex2\n")
+    assert tables.table_modes(["stub://s.parsed.tsv"], ".parsed.tsv") == {"s": "PE"}
+    storage.remove_folder("stub://parts")
+    assert storage.names("stub://parts") == [] and storage.uri("a") == "file://" + os.path.abspath("a")
