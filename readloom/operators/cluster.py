@@ -18,16 +18,16 @@ def barcode_counts(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("barcode").isNotNull()).groupBy("sample", "barcode").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def blocks(barcode: Column, n: int) -> Column:
-    """The barcode's n near-equal contiguous blocks as an array of (idx, block)."""
+def block(barcode: Column, i: int, n: int) -> Column:
+    """The i-th of the barcode's n near-equal contiguous blocks."""
     length = F.length(barcode)
+    start, end = (F.floor(length * k / n).cast("int") for k in (i, i + 1))
+    return F.substring(barcode, start + 1, end - start)
 
-    def part(i: Column) -> Column:
-        start = F.floor(length * i / n).cast("int")
-        end = F.floor(length * (i + 1) / n).cast("int")
-        return F.struct(i.alias("idx"), F.substring(barcode, start + 1, end - start).alias("block"))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), part)
+def blocks(barcode: Column, n: int) -> Column:
+    """The barcode's blocks as an array of (idx, block)."""
+    return F.array(*[F.struct(F.lit(i).alias("idx"), block(barcode, i, n).alias("block")) for i in range(n)])
 
 
 def merge_edges(counts: DataFrame, design: Design = Design()) -> DataFrame:
@@ -35,29 +35,28 @@ def merge_edges(counts: DataFrame, design: Design = Design()) -> DataFrame:
 
     A parent precedes its child in the order of falling counts (then of letters), the child's count is at most
     `cluster_merge_ratio` of the parent's and below `cluster_protect_count`, they share a block in place and differ by
-    `cluster_max_dist` edits at most. An equi-join on (sample, block); barcodes too rare to be anyone's parent are dropped
-    from its parent side beforehand.
+    `cluster_max_dist` edits at most. An equi-join on (sample, block) of barcodes rare enough to be a child with those frequent
+    enough to be a parent; a pair with several blocks in common is taken at the first of them, so nothing is left to group.
     """
     n, ratio = design.cluster_max_dist + 1, F.lit(float(design.cluster_merge_ratio))
-    split = counts.select("sample", "barcode", "cnt", F.explode(blocks(F.col("barcode"), n)).alias("b"))
-    split = split.select("sample", "barcode", "cnt", "b.idx", "b.block")
-    child = split.filter(F.col("cnt") < design.cluster_protect_count).select(
-        "sample", "idx", "block", F.col("barcode").alias("child"), F.col("cnt").alias("child_cnt")
-    )
-    parent = split.filter(F.lit(1.0) <= ratio * F.col("cnt")).select(
-        "sample", "idx", "block", F.col("barcode").alias("parent"), F.col("cnt").alias("parent_cnt")
-    )
+
+    def side(own: DataFrame, name: str) -> DataFrame:
+        split = own.select("sample", F.col("barcode").alias(name), F.col("cnt").alias(f"{name}_cnt"), F.explode(blocks(F.col("barcode"), n)).alias("b"))
+        return split.select("sample", "b.idx", "b.block", name, f"{name}_cnt")
+
+    child = side(counts.filter(F.col("cnt") < design.cluster_protect_count), "child")
+    parent = side(counts.filter(F.lit(1.0) <= ratio * F.col("cnt")), "parent")
     first = (F.col("parent_cnt") > F.col("child_cnt")) | (
         (F.col("parent_cnt") == F.col("child_cnt")) & (F.col("parent") < F.col("child"))
     )
-    distance = F.levenshtein("child", "parent", design.cluster_max_dist)
+    for i in range(n - 1):
+        first = first & ~((F.col("idx") > i) & (block(F.col("child"), i, n) == block(F.col("parent"), i, n)))
     return (
         child.join(parent, ["sample", "idx", "block"])
         .filter(first & (F.col("child_cnt") <= ratio * F.col("parent_cnt")))
-        .withColumn("dist", distance)
+        .withColumn("dist", F.levenshtein("child", "parent", design.cluster_max_dist))
         .filter(F.col("dist") >= 0)
-        .groupBy("sample", "child", "parent")
-        .agg(F.min("dist").alias("dist"), F.min("idx").alias("block_idx"), F.max("parent_cnt").alias("parent_cnt"))
+        .select("sample", "child", "parent", "dist", F.col("idx").alias("block_idx"), "parent_cnt")
     )
 
 
@@ -86,32 +85,36 @@ def assignments(counts: DataFrame, design: Design = Design()) -> DataFrame:
     the barcodes one by one in the order of falling counts.
     """
     edges = cut(merge_edges(counts, design))
-    settled = edges.select("sample", F.col("child").alias("barcode")).distinct()
-    roots = counts.select("sample", "barcode").join(settled, ["sample", "barcode"], "left_anti")
-    state = roots.withColumn("rep", F.col("barcode"))
+    children = edges.select("sample", F.col("child").alias("barcode")).distinct()
+    roots = counts.select("sample", "barcode", F.col("barcode").alias("rep")).join(children, ["sample", "barcode"], "left_anti")
+    rank = F.struct("dist", "block_idx", (-F.col("parent_cnt")).alias("m"), "parent")
     rounds, done = merge_rounds(design), 0
-    left = edges
+    left, settled = edges, None
     while rounds is None or done < rounds:
         if rounds is None and left.isEmpty():
             break
-        known = state.select("sample", F.col("barcode").alias("parent"), F.col("rep").alias("parent_rep"))
-        rank = F.struct("dist", "block_idx", (-F.col("parent_cnt")).alias("m"), "parent")
-        is_root = F.col("parent_rep") == F.col("parent")
+        # what is known of parents that may be merged themselves; all others stand for themselves
+        known = children.withColumn("rep", F.lit(None).cast("string")) if settled is None else children.join(settled, ["sample", "barcode"], "left")
+        known = known.select("sample", F.col("barcode").alias("parent"), "rep", F.lit(True).alias("is_child"))
+        is_root = F.col("is_child").isNull() | F.coalesce(F.col("rep") == F.col("parent"), F.lit(False))
         ready = (
             left.join(known, ["sample", "parent"], "left")
             .groupBy("sample", "child")
-            .agg(F.count_if(F.col("parent_rep").isNull()).alias("open"), F.min(F.when(is_root, rank)).alias("best"))
+            .agg(
+                F.count_if(F.col("is_child").isNotNull() & F.col("rep").isNull()).alias("open"),
+                F.min(F.when(is_root, rank)).alias("best"),
+            )
             .filter(F.col("open") == 0)
             .select("sample", F.col("child").alias("barcode"), F.coalesce("best.parent", "child").alias("rep"))
         )
-        if rounds is None or done + 1 < rounds:
-            ready = cut(ready)
-        state = state.unionByName(ready)
         done += 1
-        if rounds is None or done < rounds:
+        last = rounds is not None and done == rounds
+        ready = ready if last else cut(ready)
+        settled = ready if settled is None else settled.unionByName(ready)
+        if not last:
             left = left.join(ready.select("sample", F.col("barcode").alias("child")), ["sample", "child"], "left_anti")
             left = cut(left) if rounds is None or done + 1 < rounds else left
-    return state
+    return roots if settled is None else roots.unionByName(settled)
 
 
 def corrected_counts(counts: DataFrame, design: Design = Design()) -> DataFrame:

@@ -111,6 +111,16 @@ def fuzzy_primer_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fuzzy_primer_indels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of first reads whose whole primer has lost its eleventh base, or got another one before it. The motif behind tells
+    where the barcode begins, so the fuzzy structure has one way to fit."""
+    reads = raw_reads(spark, sf_dir).filter(F.substring("r1_seq", 15, 21) == _D.inner_p1_primer)
+    until, lost, rest = F.substring("r1_seq", 1, 24), F.expr("substr(r1_seq, 26)"), F.expr("substr(r1_seq, 25)")
+    changed = F.when(F.col("read_idx") % 2 == 0, F.concat(until, lost)).otherwise(F.concat(until, F.lit("T"), rest))
+    parts = reads.select("sample", "read_idx", fuzzy_parts(changed, _D, 1).alias("p")).filter("p.idx is not null")
+    return parts.select("sample", "read_idx", "p.idx", "p.umi", "p.barcode", "p.down")
+
+
 def sequence_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reverse complement, Hamming and bounded edit distance over raw reads."""
     a, b = F.substring("r1_seq", 15, 21), F.lit(_D.inner_p1_primer)
@@ -152,7 +162,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         quality_filter, zip_join_reads, fastq_scan, fastq_split_scan, extract_parsed, extract_status, extract_counters,
-        unmatched_of_reads, fuzzy_primer_extract, sequence_functions, overlap_distance, unmatched_top, counters_check,
+        unmatched_of_reads, fuzzy_primer_extract, fuzzy_primer_indels, sequence_functions, overlap_distance, unmatched_top, counters_check,
     )
 }
 
@@ -199,6 +209,10 @@ ORACLE = {
         WITH reads AS ({READS_SQL}) SELECT sample, read_idx, substr(r1_seq, 1, 6) AS idx, substr(r1_seq, 7, 8) AS umi,
         substr(r1_seq, 36, 26) AS barcode, substr(r1_seq, 62) AS down FROM reads
         WHERE hamming(substr(r1_seq, 15, 21), '{_P1}') BETWEEN 1 AND 3""",
+    "fuzzy_primer_indels": f"""
+        WITH reads AS ({READS_SQL}) SELECT sample, read_idx, substr(r1_seq, 1, 6) AS idx, substr(r1_seq, 7, 8) AS umi,
+        substr(r1_seq, 36, 26) AS barcode, substr(r1_seq, 62) AS down FROM reads WHERE substr(r1_seq, 15, 21) = '{_P1}'
+        AND regexp_matches(substr(r1_seq, 36, 26), '^{_MOTIF}$')""",
     "sequence_functions": f"""
         WITH reads AS ({READS_SQL}) SELECT sample, read_idx, reverse(translate(r1_seq, 'ACGTNacgtn', 'TGCANtgcan')) AS rc,
         hamming(substr(r1_seq, 15, 21), '{_P1}') AS mismatches,
